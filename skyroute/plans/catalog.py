@@ -317,3 +317,7 @@ select word, count(*) as count from (
   select unnest(string_split(text, ' ')) as word from documents) group by word""")
 def wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wordcount(fx.table(spark, sf_dir, "documents"), "text", " ")
+
+
+# streaming, message and lookup queries register themselves on import
+from skyroute.plans import stream_catalog  # noqa: E402,F401
