@@ -43,8 +43,9 @@ def parse_date(c) -> Column:
 
 
 def flag(c) -> Column:
-    """'0'/'1' integer flag -> boolean (any non-zero integer is true); bad -> null."""
-    return _try_cast(F.trim(_col(c)), "int") != F.lit(0)
+    """0/1 flag -> boolean; archives write it as '0.00'/'1.00', filtered files as
+    '0'/'1'; any non-zero number is true, unparsable text -> null."""
+    return _try_cast(F.trim(_col(c)), "double") != F.lit(0.0)
 
 
 def null_if_lone_quote(c) -> Column:

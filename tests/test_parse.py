@@ -1,0 +1,79 @@
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from skyroute.functions.parse import hhmm_minutes
+from skyroute.operators.flights import accepted, parse_flights, rejected
+
+
+def strptime_minutes(tok):
+    """Reference rule: '2400' -> '0000', then strptime('%H%M'), failure -> None."""
+    if tok == "2400":
+        tok = "0000"
+    try:
+        t = dt.datetime.strptime(tok, "%H%M").time()
+    except ValueError:
+        return None
+    return t.hour * 60 + t.minute
+
+
+FIXED_TOKENS = ["0000", "2400", "2359", "2360", "2575", "", "0", "5", "59", "60", "123",
+                "0930", "930", "1200", "12:00", " 930", "-100", "24", "2401", "99", "0099"]
+
+
+def test_hhmm_fixed(spark):
+    df = spark.createDataFrame([(t,) for t in FIXED_TOKENS], "t string")
+    got = {r.t: r.m for r in df.select("t", hhmm_minutes("t").alias("m")).collect()}
+    for t in FIXED_TOKENS:
+        assert got[t] == strptime_minutes(t), t
+
+
+def test_hhmm_all_short_digit_tokens(spark):
+    toks = [str(i) for i in range(10)] + [f"{i:02d}" for i in range(100)] \
+        + [f"{i:03d}" for i in range(1000)] + [f"{i:04d}" for i in range(10000)] \
+        + [str(i) for i in range(100, 10000)]
+    toks = sorted(set(toks))
+    df = spark.createDataFrame([(t,) for t in toks], "t string")
+    got = {r.t: r.m for r in df.select("t", hhmm_minutes("t").alias("m")).collect()}
+    bad = [t for t in toks if got[t] != strptime_minutes(t)]
+    assert bad == []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789 :-+x", min_size=0, max_size=5), min_size=1, max_size=30))
+def test_hhmm_property(spark, toks):
+    df = spark.createDataFrame([(t,) for t in toks], "t string")
+    for r in df.select("t", hhmm_minutes("t").alias("m")).collect():
+        assert r.m == strptime_minutes(r.t), r.t
+
+
+RAW_COLS = ["flight_date", "airline_id", "flight_num", "origin", "dest", "crs_dep_time",
+            "dep_delay", "crs_arr_time", "arr_delay", "cancelled", "cancellation_code",
+            "diverted", "distance"]
+
+
+def test_parse_flights_types_and_rejects(spark):
+    data = [
+        ("2008-01-05", "19805", "12", "ORD", "LAX", "2400", "-3.00", "2575", "", "0", '"', "0", "1,2"),
+        ("2008-13-05", "19805", "13", "ORD", "LAX", "0930", "1", "1130", "4", "0", '"', "0", "800"),
+        ("2008-01-06", "x19", "14", "ORD", "LAX", "0930", "1", "1130", "4", "0", '"', "0", "800"),
+        ("2008-01-07", "19805", "15", "ORD", "SFO", "1200", "", "1400", "", "1", "B", "0", ""),
+        ("2008-01-08", "19805", "16", "ORD", "SFO", "1201", "nan?", "1400", "2.5", "0", "", "1", "9"),
+    ]
+    raw = spark.createDataFrame(data, ", ".join(f"{c} string" for c in RAW_COLS))
+    parsed = parse_flights(raw)
+    good = {r.flight_num: r for r in accepted(parsed).collect()}
+    bad = {r.reject_reason for r in rejected(parsed).collect()}
+    assert bad == {"flight_date", "airline_id"}
+    r = good[12]
+    assert r.flight_date == dt.date(2008, 1, 5) and r.airline_id == 19805
+    assert r.dep_min == 0 and r.arr_min is None and r.dep_delay == -3.0 and r.arr_delay is None
+    assert r.cancellation_code is None and r.cancelled is False and r.diverted is False
+    assert r.distance is None
+    r = good[15]
+    assert r.cancelled is True and r.cancellation_code == "B" and r.dep_min == 720
+    r = good[16]
+    assert r.dep_delay is None and r.arr_delay == 2.5 and r.diverted is True
+    assert r.cancellation_code == ""
