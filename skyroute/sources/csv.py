@@ -21,6 +21,7 @@ CSV_OPTIONS = {
     "escape": '"',           # quotes inside a quoted field are doubled
     "multiLine": "false",
     "emptyValue": "",        # keep an empty quoted string as ''
+    "nullValue": "\u0001",   # no text stands for null (unquoted empty -> null)
     "mode": "PERMISSIVE",
 }
 

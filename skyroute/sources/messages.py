@@ -16,7 +16,10 @@ from skyroute.schemas import KEPT_RAW, ONTIME_KEPT_SCHEMA
 # Fixed value: lines per message in the chunked producer.
 DEFAULT_CHUNK = 5000
 
-_CSV_OPTS = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": ""}
+# writing keeps an empty string as a quoted "" so it reads back as '' (an
+# unquoted empty field reads as null); no text stands for null on reading
+_CSV_WRITE = {"sep": ",", "quote": '"', "escape": '"'}
+_CSV_READ = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0001"}
 
 
 def as_kept_layout(raw: DataFrame) -> DataFrame:
@@ -28,7 +31,7 @@ def as_kept_layout(raw: DataFrame) -> DataFrame:
 
 def to_csv_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Each row rendered as one CSV line (quotes doubled)."""
-    return df.select(F.to_csv(F.struct(*df.columns), _CSV_OPTS).alias(line))
+    return df.select(F.to_csv(F.struct(*df.columns), _CSV_WRITE).alias(line))
 
 
 def with_positions(df: DataFrame, group: str = "part", pos: str = "pos") -> DataFrame:
@@ -67,7 +70,7 @@ def lines_from_messages(messages: DataFrame, value: str = "value", line: str = "
 
 def flights_from_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """CSV lines in the kept layout -> raw string columns (then ``parse_flights``)."""
-    parsed = F.from_csv(F.col(line), ONTIME_KEPT_SCHEMA.simpleString(), _CSV_OPTS)
+    parsed = F.from_csv(F.col(line), ONTIME_KEPT_SCHEMA.simpleString(), _CSV_READ)
     return lines.select(parsed.alias("_r")).select("_r.*")
 
 
