@@ -18,13 +18,31 @@ def _col(c) -> Column:
 
 
 def hhmm_minutes(c) -> Column:
-    """'hhmm' -> minutes after midnight (int), '2400' -> 0, anything else -> null."""
+    """'hhmm' -> minutes after midnight (int), '2400' -> 0, anything else -> null.
+
+    Same answers as matching ``HHMM_PATTERN`` (hour: 2[0-3] | [0-1]d | d,
+    then minute: [0-5]d | d, whole token), written as fixed-position
+    character tests so no regular expression runs per row:
+      2 digits: h = 1st, m = 2nd
+      3 digits: h = first two if they form an hour (2[0-3] or [01]d), m = 3rd;
+                else h = 1st and m = last two when the 2nd is 0-5
+      4 digits: h = first two (an hour) and m = last two when the 3rd is 0-5
+    """
     s = _col(c)
     s = F.when(s == F.lit("2400"), F.lit("0000")).otherwise(s)
-    ok = s.rlike(HHMM_PATTERN)
-    h = F.regexp_extract(s, HHMM_PATTERN, 1).cast("int")
-    m = F.regexp_extract(s, HHMM_PATTERN, 2).cast("int")
-    return F.when(ok, h * 60 + m).cast("int")
+    n = F.length(s)
+    digits = (F.translate(s, "0123456789", "") == F.lit("")) & n.between(2, 4)
+    c1, c2, c3 = (F.substring(s, i, 1) for i in (1, 2, 3))
+    two_digit_hour = (c1 < F.lit("2")) | ((c1 == F.lit("2")) & (c2 <= F.lit("3")))
+    minute_tens_ok = lambda ch: ch <= F.lit("5")
+    hh = F.substring(s, 1, 2).cast("int")
+    h1 = c1.cast("int")
+    mins = (F.when(n == 2, h1 * 60 + c2.cast("int"))
+             .when((n == 3) & two_digit_hour, hh * 60 + c3.cast("int"))
+             .when((n == 3) & minute_tens_ok(c2), h1 * 60 + F.substring(s, 2, 2).cast("int"))
+             .when((n == 4) & two_digit_hour & minute_tens_ok(c3),
+                   hh * 60 + F.substring(s, 3, 2).cast("int")))
+    return F.when(digits, mins).cast("int")
 
 
 def lenient_double(c) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skyroute.functions.parse import (
     flag, hhmm_minutes, lenient_double, null_if_lone_quote, parse_date, parse_long,
 )
-from skyroute.functions.timefmt import in_year
+from skyroute.functions.timefmt import year_filter
 
 REJECT = "reject_reason"
 
@@ -104,6 +104,7 @@ def completed_with(df: DataFrame, *metrics: str) -> DataFrame:
 
 def trip_ready(df: DataFrame, year: int) -> DataFrame:
     """Completed, arrival delay known, both scheduled times known, in the year."""
-    return df.filter(~F.col("cancelled") & ~F.col("diverted") & in_year("flight_date", year)
-                     & F.col("dep_min").isNotNull() & F.col("arr_min").isNotNull()
-                     & F.col("arr_delay").isNotNull())
+    return year_filter(df, "flight_date", year).filter(
+        ~F.col("cancelled") & ~F.col("diverted")
+        & F.col("dep_min").isNotNull() & F.col("arr_min").isNotNull()
+        & F.col("arr_delay").isNotNull())

@@ -15,7 +15,18 @@ from skyroute.operators.flights import accepted, parse_flights
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin a table stored in fewer files than the cluster has cores.
+
+    A single-file table (one row group) is read by one task, and everything
+    fused after the scan (joins, parsing) runs in that task. When the table
+    has at least as many files as cores, nothing changes (no shuffle).
+    """
+    par = spark.sparkContext.defaultParallelism
+    return df.repartition(par) if len(df.inputFiles()) < par else df
 
 
 def _hhmm(minutes: Column) -> Column:
