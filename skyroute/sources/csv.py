@@ -53,6 +53,13 @@ def read_flights_csv(spark: SparkSession, path, header: bool = False) -> DataFra
     return parse_flights(read_ontime_filtered(spark, path, header))
 
 
+def read_flights_text(spark: SparkSession, path) -> DataFrame:
+    """Text scan + per-line CSV parse (kept layout) -> typed flights with rejects."""
+    from skyroute.sources.messages import flights_from_lines
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return parse_flights(flights_from_lines(lines.withColumnRenamed("value", "line")))
+
+
 def read_survey_raw(spark: SparkSession, path) -> DataFrame:
     return read_csv(spark, path, SURVEY_RAW_SCHEMA, header=True)
 

@@ -126,3 +126,21 @@ def test_lookup_csv_names(spark, tmp_path):
     df = spark.createDataFrame([(19805, 1.0), (20355, 2.0), (11111, 3.0)], "airline_id long, m double")
     got = rows(with_names(df, names, "airline_id"), "airline_id", "name")
     assert got == [(11111, None), (19805, "American Airlines Inc.: AA"), (20355, "US Airways, Inc.")]
+
+
+def test_text_scan_and_export_import(spark, tmp_path):
+    from skyroute.sources.csv import export_table, import_table, read_flights_text
+    from skyroute.plans import questions as qq
+    src = tmp_path / "raw"
+    src.mkdir()
+    write_raw_ontime(src / "p.csv")
+    kept = filter_ontime(read_ontime_raw(spark, str(src)))
+    out = str(tmp_path / "filtered")
+    write_csv(kept, out)
+    via_text = accepted(read_flights_text(spark, out))
+    assert rows(via_text) == rows(accepted(read_flights_csv(spark, out)))
+    top = qq.top_carriers_by_origin(via_text)
+    exp = str(tmp_path / "export")
+    export_table(top, ["origin", "airlineid", "depdelay", "rank"], exp)
+    back = import_table(spark, "origin string, airlineid long, depdelay double, rank int", exp)
+    assert rows(back) == rows(top, "origin", "airlineid", "depdelay", "rank")
