@@ -119,7 +119,9 @@ def _ts(d: str, m: str) -> str:
 select flight_date, airline_id, flight_num, origin, dest, dep_min, arr_min,
   dep_delay, arr_delay, cancelled, cancellation_code, diverted from flights""")
 def flights_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.flights(spark, sf_dir)
+    return fx.typed_flights(spark, sf_dir).select(
+        "flight_date", "airline_id", "flight_num", "origin", "dest", "dep_min", "arr_min",
+        "dep_delay", "arr_delay", "cancelled", "cancellation_code", "diverted")
 
 
 @register("parse_hhmm", FLIGHTS_CTE + f"""

@@ -222,7 +222,7 @@ def lookup_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "carriersbypath")
     publish(q.top_carriers_by_path(fx.flights(spark, sf_dir), fx.airline_names(spark, sf_dir)),
-            path, ["origin", "destination"])
+            path, "origin")
     return lookup(spark, path, origin=LOOKUP_ORIGIN, destination=LOOKUP_DEST)
 
 

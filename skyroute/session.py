@@ -15,6 +15,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a generated method above 8000 bytes is never JIT-compiled by the JVM;
+    # fall back to per-operator code for such stages instead of interpreting it
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyroute.operators.flights import trip_ready
-from skyroute.operators.trips import LEG_COLS, LEG_ORDER, NOON, trips_from_best_legs
+from skyroute.operators.trips import LEG_COLS, LEG_ORDER, NOON, trips_from_sided
 from skyroute.streaming.running import snapshot
 
 _KEY = ("flight_date", "origin", "dest")
@@ -32,10 +32,7 @@ def best_leg_state(flights: DataFrame, year: int) -> DataFrame:
 
 
 def trips_from_state(state: DataFrame, gap_days: int = 2) -> DataFrame:
-    legs = state.select("side", *_KEY, "best.*")
-    first = legs.filter(F.col("side") == 1).drop("side")
-    second = legs.filter(F.col("side") == 2).drop("side")
-    return trips_from_best_legs(first, second, gap_days)
+    return trips_from_sided(state.select("side", *_KEY, "best.*"), gap_days)
 
 
 def stream_two_leg(flights: DataFrame, year: int, out_path: str, checkpoint: str,
