@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import os
 
-from skyroute.operators.flights import accepted, parse_flights
+from skyroute.operators.flights import REJECT, accepted, parse_flights
 from skyroute.session import scratch_path
 
 
@@ -87,9 +87,22 @@ def typed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_flights(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The ingest step: parse once, store typed flights as Parquet by year."""
-    (typed_flights(spark, sf_dir).withColumn("year", F.year("flight_date"))
-        .write.mode("overwrite").partitionBy("year").parquet(path))
+    """The ingest step: parse once, store typed flights as Parquet.
+
+    Accepted and rejected rows go to ``status=ok`` / ``status=rejected``
+    partitions of one write (no filter over the parse, so nothing is
+    re-evaluated and the input is read once), then by ``year``.
+    """
+    parsed = parse_flights(raw_flights(spark, sf_dir))
+    status = F.when(F.col(REJECT).isNull(), F.lit("ok")).otherwise(F.lit("rejected"))
+    (parsed.withColumn("status", status).withColumn("year", F.year("flight_date"))
+        .write.mode("overwrite").partitionBy("status", "year").parquet(path))
+
+
+def read_stored_flights(spark: SparkSession, path: str) -> DataFrame:
+    """Accepted flights of an ingested table (prunes to the ``status=ok`` folders)."""
+    return (spark.read.parquet(path).filter(F.col("status") == F.lit("ok"))
+                 .drop("status", REJECT))
 
 
 _STORED: dict = {}
@@ -112,7 +125,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "flights")
         ingest_flights(spark, sf_dir, path)
         _STORED[key] = path
-    return spark.read.parquet(path)
+    return read_stored_flights(spark, path)
 
 
 def airline_names(spark: SparkSession, sf_dir: str) -> DataFrame:
