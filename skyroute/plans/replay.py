@@ -12,21 +12,27 @@ from pyspark.sql import functions as F
 from skyroute.operators.flights import accepted, parse_flights
 from skyroute.plans import fixture as fx
 from skyroute.session import scratch_path
-from skyroute.sources.messages import as_kept_layout, flights_from_lines, to_csv_lines
+from skyroute.sources.messages import (
+    DEFAULT_CHUNK, as_kept_layout, flights_from_lines, lines_from_messages, to_csv_lines,
+    to_messages, with_positions,
+)
 from skyroute.streaming.sources import split_to_batches, stream_source
 
 N_BATCHES = 5
 
 
-def flight_line_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES) -> DataFrame:
-    """Raw flights written as CSV lines in ``n`` batches, read back as a stream
-    of typed flights through the message-line parser."""
-    path = scratch_path(spark, "flight-lines")
-    lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)), "value")
-    split_to_batches(lines, path, n, F.pmod(F.crc32(F.col("value")), F.lit(n)))
+def flight_line_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
+                       lines_per_message: int = DEFAULT_CHUNK) -> DataFrame:
+    """Raw flights rendered as CSV lines, packed into chunked messages (as a
+    producer publishes them) and written in ``n`` batches; read back as a
+    stream of typed flights: message -> lines -> CSV fields -> parser."""
+    path = scratch_path(spark, "flight-messages")
+    lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)), "line")
+    msgs = to_messages(with_positions(lines), lines_per_message).select("value")
+    split_to_batches(msgs, path, n, F.pmod(F.crc32(F.col("value")), F.lit(n)))
     s = stream_source(spark, "files", path, schema="value string, batch int",
                       max_files_per_trigger=1)
-    return accepted(parse_flights(flights_from_lines(s.select(F.col("value").alias("line")))))
+    return accepted(parse_flights(flights_from_lines(lines_from_messages(s))))
 
 
 def document_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES) -> DataFrame:

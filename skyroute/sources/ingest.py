@@ -10,9 +10,11 @@
 * ``first_file_per_directory`` / ``first_file_per_listing_group``: one file
   per directory, from a file source or from a listing's line order.
 
-Archives are spread over tasks by Spark's file source; each task opens its
-own archives (a zip is not splittable) and streams member lines out in
-bounded Arrow batches, so memory is one compressed archive plus one batch.
+Archives are spread over tasks by Spark's file listing (split by size); each
+task opens its own archives through Arrow's filesystem layer (a zip is not
+splittable but is seekable, so members stream out) and emits lines in
+bounded Arrow batches. Archive bytes never sit in a DataFrame row, so there
+is no per-file size limit and no batch of many whole archives in memory.
 """
 
 from __future__ import annotations
@@ -58,13 +60,23 @@ def check_archive_types(files: DataFrame) -> None:
         raise ValueError(f"unsupported input file type: {bad[0]['path']}")
 
 
+def _open_input(path: str):
+    """Seekable handle on a file URI (local, HDFS, object stores) via Arrow's
+    filesystems, opened inside the task: archive bytes never travel in rows."""
+    from pyarrow import fs as pafs
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    return filesystem.open_input_file(inner)
+
+
 def _unzip_batches(max_lines: int | None):
     def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buf: list[tuple] = []
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+            for path in pdf["path"]:
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                    with _open_input(path) as handle, zipfile.ZipFile(handle) as zf:
                         for info in zf.infolist():
                             if info.is_dir() or not info.filename.lower().endswith(MEMBER_EXTENSION):
                                 continue
@@ -93,13 +105,13 @@ def archive_lines(spark: SparkSession, root: str, max_lines: int | None = None,
                   check_types: bool = True) -> DataFrame:
     """Lines of the ``.csv`` members of all ``.zip`` archives below ``root``.
 
+    The listing (paths and sizes only; contents are not read) is split into
+    tasks by file size, and every task opens and unzips its own archives.
     ``max_lines`` optionally caps the lines taken from each member.
     """
     if check_types:
         check_archive_types(list_input_files(spark, root))
-    zips = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .option("pathGlobFilter", "*.zip").load(root)
-                 .filter(F.col("length") > 0).select("path", "content"))
+    zips = list_input_files(spark, root, glob="*.zip").select("path")
     return zips.mapInPandas(_unzip_batches(max_lines), ARCHIVE_LINE_SCHEMA)
 
 
