@@ -1,0 +1,9 @@
+import contextlib
+import io
+
+
+def explain(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()

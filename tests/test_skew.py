@@ -1,0 +1,70 @@
+"""One key holding a third of all rows: results stay whole and exact."""
+
+import random
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from skyroute.operators.aggregate import mean_by, popularity, wordcount
+from skyroute.operators.ranking import rank_with_ties, top_k_by
+from skyroute.operators.trips import best_trips, leg_pairs
+from tests.conftest import rows
+from tests.test_explain_util import explain
+from tests.test_trips import SCHEMA, _naive, leg
+
+import datetime as dt
+
+
+def _hub_rows(n=9000, seed=5):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        o = "HUB" if i % 3 == 0 else rnd.choice(["A", "B", "C", "D", "E"])
+        d = rnd.choice(["HUB", "A", "B", "C", "D", "E"])
+        out.append((o, d, rnd.randint(1, 40), float(rnd.randint(-20, 60))))
+    return out
+
+
+def test_hot_origin_top_k_by(spark):
+    df = spark.createDataFrame(_hub_rows(), "origin string, dest string, carrier int, delay double")
+    means = mean_by(df, ["origin", "carrier"], "delay", "m")
+    ours = rows(top_k_by(means, "origin", ["m", "carrier"], 5), "origin", "carrier", "rank")
+    w = Window.partitionBy("origin").orderBy("m", "carrier")
+    ref = rows(means.withColumn("rank", F.row_number().over(w)).filter("rank <= 5"),
+               "origin", "carrier", "rank")
+    assert ours == ref
+    assert "WindowGroupLimit" in explain(top_k_by(means, "origin", ["m", "carrier"], 5))
+
+
+def test_hot_airport_popularity_and_ranks(spark):
+    df = spark.createDataFrame(_hub_rows(), "origin string, dest string, carrier int, delay double")
+    pop = popularity(df)
+    got = dict(rows(pop))
+    assert sum(got.values()) == 2 * 9000 and got["HUB"] >= 3000
+    ranks = rows(rank_with_ties(pop, "count"), "airport", "rank")
+    ref = rows(pop.withColumn("rank", F.rank().over(Window.orderBy(F.desc("count")))), "airport", "rank")
+    assert ranks == ref
+
+
+def test_hot_word(spark):
+    text = " ".join(["the"] * 5000 + [f"w{i}" for i in range(10000)])
+    df = spark.createDataFrame([(text,), ("the end",)], "text string")
+    got = dict(rows(wordcount(df)))
+    assert got["the"] == 5001 and got["end"] == 1 and len(got) == 10002
+
+
+def test_hot_hub_two_leg(spark):
+    rnd = random.Random(11)
+    data = []
+    for i in range(3000):
+        hub = i % 3 == 0
+        o, d = ("X", "HUB") if hub else rnd.sample(["A", "B", "C", "HUB"], 2)
+        data.append(leg(dt.date(2008, 1, 1) + dt.timedelta(days=rnd.randint(0, 5)), o, d, i,
+                        rnd.choice([400, 800]), rnd.randint(0, 1439), rnd.randint(-9, 9),
+                        airline=rnd.randint(1, 4)))
+    df = spark.createDataFrame(data, SCHEMA)
+    cols = ["origin1", "dest1", "dest2", "startdate", "total_delay"]
+    fast = rows(best_trips(df, 2008), *cols)
+    slow = rows(_naive(leg_pairs(df, 2008)).withColumn(
+        "startdate", F.date_format("flight_date1", "dd/MM/yyyy")), *cols)
+    assert fast == slow and len(fast) > 20
