@@ -24,7 +24,7 @@ from skyroute.sources.messages import (
 from skyroute.sources.tables import lookup, publish
 from skyroute.streaming import running as R
 from skyroute.streaming.partials import merge_partials, stage_partials
-from skyroute.streaming.two_leg import stream_two_leg as _stream_two_leg
+from skyroute.streaming.two_leg import stream_two_leg_incremental as _stream_two_leg
 
 SEED = (("hello", 1), ("world", 1))  # fixed value: the initial word counts
 
@@ -166,8 +166,9 @@ def stage_partials_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_two_leg", TWO_LEG_BEST_SQL)
 def stream_two_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "two-leg")
-    R.run(_stream_two_leg(flight_line_stream(spark, sf_dir), TRIP_YEAR, out, ck))
-    return spark.read.parquet(out)
+    legs = scratch_path(spark, "two-leg-legs")
+    R.run(_stream_two_leg(flight_line_stream(spark, sf_dir), TRIP_YEAR, legs, out, ck))
+    return spark.read.parquet(out).drop("start_month")
 
 
 # -- messages ----------------------------------------------------------------

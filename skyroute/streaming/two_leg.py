@@ -11,6 +11,8 @@ the route-day domain, not by the number of flights) with the batch join of
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,3 +42,86 @@ def stream_two_leg(flights: DataFrame, year: int, out_path: str, checkpoint: str
     return snapshot(best_leg_state(flights, year),
                     lambda b: trips_from_state(b, gap_days), out_path, checkpoint,
                     partition_cols=("origin1",), trigger=trigger)
+
+
+# -- incremental form ---------------------------------------------------------
+
+def _read_or_empty(spark, path: str, schema) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except Exception as e:  # noqa: BLE001 - first batch: the table does not exist yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def _overwrite_partitions(df: DataFrame, path: str, col: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(col).parquet(path))
+
+
+def _prev_month(d):
+    return (d.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
+
+
+def _next_month(d):
+    return (d.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
+
+
+def _month(c) -> F.Column:
+    return F.trunc(F.col(c) if isinstance(c, str) else c, "month")
+
+
+def stream_two_leg_incremental(flights: DataFrame, year: int, legs_path: str, trips_path: str,
+                               checkpoint: str, gap_days: int = 2,
+                               trigger: str | None = "available_now") -> StreamingQuery:
+    """Two-leg trips maintained per touched month (``gap_days`` < 28).
+
+    State emits only the leg keys whose best flight changed in the batch
+    (update mode). The best-leg table, partitioned by month, is merged for
+    the touched months only. Trips are recomputed only for start months
+    holding a changed first leg, or the date ``gap`` days before a changed
+    second leg, and written by dynamic partition overwrite of those months.
+    Per-batch cost follows the months a batch touches, not the whole table;
+    a stream in date order touches one or two.
+    """
+    from skyroute.streaming.running import start
+
+    def sink(changed_state: DataFrame, batch_id: int) -> None:
+        # used several times below: keep the batch (changed keys only) rather
+        # than re-running source, parse and state read for every use
+        changed = (changed_state.select("side", *_KEY, "best.*")
+                   .withColumn("leg_month", _month("flight_date")).persist())
+        try:
+            _merge_and_rebuild(changed)
+        finally:
+            changed.unpersist()
+
+    def _merge_and_rebuild(changed: DataFrame) -> None:
+        spark = changed.sparkSession
+        schema = changed.schema
+        # months touched by one batch: a set bounded by the calendar (at most
+        # 12 per year of data in the batch), used as static partition filters
+        months = sorted({r[0] for r in changed.select("leg_month").distinct().collect()})
+        if not months:
+            return
+        # a changed second leg early in a month may start a trip the month before
+        trip_months = sorted(set(months) | {_prev_month(m) for m in months})
+
+        old = _read_or_empty(spark, legs_path, schema)
+        keep = (old.filter(F.col("leg_month").isin(months))
+                   .join(changed.select("side", *_KEY), ["side", *_KEY], "left_anti"))
+        # the merge reads the partitions it replaces: materialise it first
+        merged = keep.unionByName(changed).checkpoint(eager=True)
+        _overwrite_partitions(merged, legs_path, "leg_month")
+
+        # legs of the trip months and of the month after (second legs)
+        need = sorted(set(trip_months) | {_next_month(m) for m in trip_months})
+        legs = (_read_or_empty(spark, legs_path, schema)
+                .filter(F.col("leg_month").isin(need)).drop("leg_month"))
+        trips = (trips_from_sided(legs, gap_days)
+                 .withColumn("start_month", _month("start_date"))
+                 .filter(F.col("start_month").isin(trip_months)))
+        _overwrite_partitions(trips, trips_path, "start_month")
+
+    return start(best_leg_state(flights, year), sink, checkpoint, "update", trigger)

@@ -98,3 +98,28 @@ def test_per_batch_counts(spark, tmp_path):
     # a replay of the same batch id rewrites its own folder only
     R.write_batch(wordcount(spark.createDataFrame([("q",)], "value string"), "value"), out, 1)
     assert rows(spark.read.parquet(out).filter("batch_id = 1"), "word", "count") == [("q", 1)]
+
+
+def test_incremental_two_leg_equals_batch(spark, tmp_path):
+    from skyroute.streaming.two_leg import stream_two_leg_incremental
+    df = spark.createDataFrame(LEGS, SCHEMA)
+    src = str(tmp_path / "legs")
+    # second legs first, then first legs, then a replay of the second legs;
+    # one trip spans a month boundary (May 31 -> Jun 2)
+    extra = spark.createDataFrame([
+        (dt.date(2008, 5, 31), 1, 60, "AUS", "DEN", 600, 700, 3.0, False, False),
+        (dt.date(2008, 6, 2), 1, 61, "DEN", "SEA", 900, 1000, -1.0, False, False)], SCHEMA)
+    allf = df.unionByName(extra)
+    second = allf.filter(F.col("dep_min") >= 720)
+    first = allf.filter(F.col("dep_min") < 720)
+    for i, part in enumerate([second, first, second]):
+        part.write.parquet(f"{src}/b={i}")
+        for f in os.listdir(f"{src}/b={i}"):
+            os.utime(f"{src}/b={i}/{f}", (3_000_000 + i, 3_000_000 + i))
+    s = stream_source(spark, "files", src, schema=SCHEMA + ", b int", max_files_per_trigger=1)
+    out = str(tmp_path / "trips")
+    R.run(stream_two_leg_incremental(s, 2008, str(tmp_path / "l"), out, str(tmp_path / "ck")))
+    cols = ["origin1", "dest1", "dest2", "startdate", "flightnum1", "flightnum2", "total_delay"]
+    got = rows(spark.read.parquet(out), *cols)
+    assert got == rows(best_trips(allf, 2008), *cols)
+    assert ("AUS", "DEN", "SEA", "31/05/2008", 60, 61, 2.0) in got
