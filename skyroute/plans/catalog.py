@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyroute.functions.parse import hhmm_minutes
 from skyroute.operators.aggregate import wordcount as _wordcount
-from skyroute.operators.flights import completed_with, parse_flights
+from skyroute.operators.flights import completed_with
 from skyroute.operators.lookup import with_names
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q

@@ -39,11 +39,25 @@ def trigger_kw(trigger: str | None) -> dict:
     return {"processingTime": trigger}
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
-    """Idempotent per-batch write: replaces only this batch's folder."""
-    (df.withColumn(BATCH, F.lit(batch_id).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BATCH, *partition_cols).parquet(path))
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = (),
+                single_file: bool = False) -> None:
+    """Idempotent per-batch write: replaces only this batch's folder.
+
+    ``single_file`` writes one file per batch (one task): only for small
+    per-batch results such as a top-k.
+    """
+    out = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    if single_file:
+        out = out.coalesce(1)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BATCH, *partition_cols).parquet(path))
+
+
+def to_console(df: DataFrame, mode: str = "update", rows: int = 20,
+               trigger: str | None = "available_now") -> StreamingQuery:
+    """Print each micro-batch's result (the streaming form of showing a result)."""
+    return (df.writeStream.outputMode(mode).format("console").option("numRows", rows)
+              .option("truncate", "false").trigger(**trigger_kw(trigger)).start())
 
 
 def current(spark: SparkSession, path: str, keys: Sequence[str] | str) -> DataFrame:
