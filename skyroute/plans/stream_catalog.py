@@ -49,7 +49,8 @@ def stream_wordcount_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     fn = lambda b: (b.select("batch", F.explode(F.split("text", " ", -1)).alias("word"))
                      .groupBy("batch", "word").agg(F.count(F.lit(1)).alias("count")))
     R.run(R.per_batch(s, fn, out, ck))
-    return spark.read.parquet(out).select("batch", "word", "count")
+    return spark.read.parquet(out).select(F.col("batch").cast("bigint").alias("batch"),
+                                          "word", "count")
 
 
 @register("stream_wordcount_running", WORDCOUNT_SQL)
