@@ -8,6 +8,8 @@ from tools.oracle_check import TABLES, frame_hash
 from tests.conftest import SF_SMALL
 
 SQL = E.oracle_sql()
+DUCK_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +28,9 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
+    rel = duck.sql(SQL[name])
+    types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: DUCK_TYPE.get(t, t) for c, t in df.dtypes} == types
     cur = duck.execute(SQL[name])
     ocols = [d[0] for d in cur.description]
     want = cur.fetchall()
