@@ -27,14 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, fact: bool | None = None)
 
 
 def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin a table stored in fewer files than the cluster has cores.
+    """Round-robin a table whose scan has fewer splits than the cluster has cores.
 
     A single-file table (one row group) is read by one task, and everything
-    fused after the scan (joins, parsing) runs in that task. When the table
-    has at least as many files as cores, nothing changes (no shuffle).
+    fused after the scan (joins, parsing) runs in that task. When the scan
+    already has at least as many splits as cores, nothing changes (no
+    shuffle). The split count is planned on the JVM side; no file list is
+    brought to the driver.
     """
     par = spark.sparkContext.defaultParallelism
-    return df.repartition(par) if len(df.inputFiles()) < par else df
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
 def _hhmm(minutes: Column) -> Column:
