@@ -86,15 +86,33 @@ def stream_top_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mean_snapshot(spark, sf_dir, name, keys, metric, derive, partition_cols=()):
+    """Running (sum, count) per key; ranked table rebuilt from the full
+    aggregate each micro-batch (global rankings: one row per key of a
+    bounded domain)."""
     out, ck = _dirs(spark, name)
-    flights = flight_line_stream(spark, sf_dir)
-    f = flights.filter(~F.col("cancelled") & ~F.col("diverted") & F.col("airline_id").isNotNull()) \
-        if "airline_id" in keys else flights.filter(~F.col("cancelled") & ~F.col("diverted"))
-    agg = R.running_sum_count(f, keys, metric)
+    agg = R.running_sum_count(_completed_stream(spark, sf_dir, keys), keys, metric)
     R.run(R.snapshot(agg, derive, out, ck, partition_cols))
     return spark.read.parquet(out)
 
 
+def _mean_incremental(spark, sf_dir, name, keys, metric, derive, part_col="origin"):
+    """Running (sum, count) per key; per-origin rankings updated for the
+    origins each micro-batch touches."""
+    out, ck = _dirs(spark, name)
+    state = scratch_path(spark, name + "-means")
+    agg = R.running_sum_count(_completed_stream(spark, sf_dir, keys), keys, metric)
+    R.run(R.incremental_ranked(agg, part_col, keys, derive, state, out, ck))
+    return spark.read.parquet(out)
+
+
+def _completed_stream(spark, sf_dir, keys):
+    flights = flight_line_stream(spark, sf_dir)
+    done = ~F.col("cancelled") & ~F.col("diverted")
+    if "airline_id" in keys:
+        done = done & F.col("airline_id").isNotNull()
+    return flights.filter(done)
+
+
 @register("stream_top_airlines", ORACLE_SQL["top_airlines"])
 def stream_top_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = fx.airline_names(spark, sf_dir)
@@ -114,8 +132,8 @@ def stream_mean_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("total") / F.col("n")).alias("depdelay"))
         top = top_k_by(means, "origin", ["depdelay", "airlineid"], 10)
         return with_names(top, names, "airlineid", out="airline")
-    return _mean_snapshot(spark, sf_dir, "carriers-by-origin", ["origin", "airline_id"],
-                          "dep_delay", derive, ("origin",))
+    return _mean_incremental(spark, sf_dir, "carriers-by-origin", ["origin", "airline_id"],
+                          "dep_delay", derive)
 
 
 @register("stream_top_dests", TOP_DESTS_BY_ORIGIN_SQL)
@@ -124,8 +142,8 @@ def stream_top_dests(spark: SparkSession, sf_dir: str) -> DataFrame:
         means = b.select("origin", F.col("dest").alias("destination"),
                          (F.col("total") / F.col("n")).alias("depdelay"))
         return top_k_by(means, "origin", ["depdelay", "destination"], 10)
-    return _mean_snapshot(spark, sf_dir, "dests-by-origin", ["origin", "dest"], "dep_delay",
-                          derive, ("origin",))
+    return _mean_incremental(spark, sf_dir, "dests-by-origin", ["origin", "dest"], "dep_delay",
+                          derive)
 
 
 @register("stream_carriers_by_path", TOP_CARRIERS_BY_PATH_SQL)
@@ -138,8 +156,8 @@ def stream_carriers_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("total") / F.col("n")).alias("arrdelay"))
         top = top_k_by(means, ["origin", "destination"], ["arrdelay", "airlineid"], 10)
         return with_names(top, names, "airlineid", out="airline")
-    return _mean_snapshot(spark, sf_dir, "carriers-by-path", ["origin", "dest", "airline_id"],
-                          "arr_delay", derive, ("origin",))
+    return _mean_incremental(spark, sf_dir, "carriers-by-path", ["origin", "dest", "airline_id"],
+                          "arr_delay", derive)
 
 
 # -- staged partials ---------------------------------------------------------

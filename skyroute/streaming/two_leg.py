@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyroute.operators.flights import trip_ready
 from skyroute.operators.trips import LEG_COLS, LEG_ORDER, NOON, trips_from_sided
-from skyroute.streaming.running import snapshot
+from skyroute.streaming.running import overwrite_partitions, read_or_empty, snapshot
 
 _KEY = ("flight_date", "origin", "dest")
 
@@ -46,20 +46,6 @@ def stream_two_leg(flights: DataFrame, year: int, out_path: str, checkpoint: str
 
 # -- incremental form ---------------------------------------------------------
 
-def _read_or_empty(spark, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # noqa: BLE001 - first batch: the table does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def _overwrite_partitions(df: DataFrame, path: str, col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(col).parquet(path))
-
-
 def _prev_month(d):
     return (d.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
 
@@ -108,20 +94,20 @@ def stream_two_leg_incremental(flights: DataFrame, year: int, legs_path: str, tr
         # a changed second leg early in a month may start a trip the month before
         trip_months = sorted(set(months) | {_prev_month(m) for m in months})
 
-        old = _read_or_empty(spark, legs_path, schema)
+        old = read_or_empty(spark, legs_path, schema)
         keep = (old.filter(F.col("leg_month").isin(months))
                    .join(changed.select("side", *_KEY), ["side", *_KEY], "left_anti"))
         # the merge reads the partitions it replaces: materialise it first
         merged = keep.unionByName(changed).checkpoint(eager=True)
-        _overwrite_partitions(merged, legs_path, "leg_month")
+        overwrite_partitions(merged, legs_path, "leg_month")
 
         # legs of the trip months and of the month after (second legs)
         need = sorted(set(trip_months) | {_next_month(m) for m in trip_months})
-        legs = (_read_or_empty(spark, legs_path, schema)
+        legs = (read_or_empty(spark, legs_path, schema)
                 .filter(F.col("leg_month").isin(need)).drop("leg_month"))
         trips = (trips_from_sided(legs, gap_days)
                  .withColumn("start_month", _month("start_date"))
                  .filter(F.col("start_month").isin(trip_months)))
-        _overwrite_partitions(trips, trips_path, "start_month")
+        overwrite_partitions(trips, trips_path, "start_month")
 
     return start(best_leg_state(flights, year), sink, checkpoint, "update", trigger)

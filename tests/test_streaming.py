@@ -123,3 +123,32 @@ def test_incremental_two_leg_equals_batch(spark, tmp_path):
     got = rows(spark.read.parquet(out), *cols)
     assert got == rows(best_trips(allf, 2008), *cols)
     assert ("AUS", "DEN", "SEA", "31/05/2008", 60, 61, 2.0) in got
+
+
+def test_incremental_ranked_equals_batch(spark, tmp_path):
+    from skyroute.operators.aggregate import mean_by
+    from skyroute.operators.ranking import top_k_by
+    schema = "origin string, carrier long, delay double"
+    batches = [
+        [("ORD", 1, 5.0), ("ORD", 2, 1.0), ("LAX", 1, 3.0)],
+        [("ORD", 1, -9.0), ("SFO", 3, 2.0)],                 # LAX untouched here
+        [("ORD", 3, 0.0), ("ORD", 2, 4.0), ("LAX", 2, -1.0)],
+    ]
+    src = tmp_path / "in"
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, schema).coalesce(1).write.parquet(str(src / f"b={i}"))
+        for f in os.listdir(src / f"b={i}"):
+            os.utime(src / f"b={i}" / f, (4_000_000 + i, 4_000_000 + i))
+    s = stream_source(spark, "files", str(src), schema=schema + ", b int", max_files_per_trigger=1)
+    agg = R.running_sum_count(s, ["origin", "carrier"], "delay")
+
+    def derive(b):
+        m = b.select("origin", "carrier", (F.col("total") / F.col("n")).alias("m"))
+        return top_k_by(m, "origin", ["m", "carrier"], 2)
+    out = str(tmp_path / "out")
+    R.run(R.incremental_ranked(agg, "origin", ["origin", "carrier"], derive,
+                               str(tmp_path / "state"), out, str(tmp_path / "ck")))
+    allb = spark.createDataFrame([r for b in batches for r in b], schema)
+    want = top_k_by(mean_by(allb, ["origin", "carrier"], "delay", "m"), "origin", ["m", "carrier"], 2)
+    assert rows(spark.read.parquet(out), "origin", "carrier", "m", "rank") == \
+        rows(want, "origin", "carrier", "m", "rank")
