@@ -56,8 +56,10 @@ def stream_wordcount_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_wordcount_running", WORDCOUNT_SQL)
 def stream_wordcount_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "wc-running")
-    R.run(R.running_counts(tokens(document_stream(spark, sf_dir), "text"), "word", out, ck))
-    return R.current(spark, out, "word").select("word", "count")
+    base = scratch_path(spark, "wc-running-base")
+    R.run(R.running_counts(tokens(document_stream(spark, sf_dir), "text"), "word", out, ck,
+                           base_root=base, compact_every=2))
+    return R.current(spark, out, "word", base_root=base).select("word", "count")
 
 
 @register("stream_wordcount_seeded", f"""

@@ -60,13 +60,61 @@ def to_console(df: DataFrame, mode: str = "update", rows: int = 20,
               .option("truncate", "false").trigger(**trigger_kw(trigger)).start())
 
 
-def current(spark: SparkSession, path: str, keys: Sequence[str] | str) -> DataFrame:
-    """Newest version of every key in a changelog table."""
+def newest_per_key(log: DataFrame, keys: Sequence[str] | str) -> DataFrame:
+    """Rows of the newest ``batch_id`` of every key (partial max per key, then
+    a semi-join: no key is gathered whole)."""
     keys = _keys(keys)
-    log = spark.read.parquet(path)
     newest = log.groupBy(*keys).agg(F.max(BATCH).alias("_newest"))
     cond = [log[k].eqNullSafe(newest[k]) for k in keys] + [log[BATCH] == newest["_newest"]]
-    return log.join(newest, cond, "left_semi").drop(BATCH)
+    return log.join(newest, cond, "left_semi")
+
+
+def latest_base(spark: SparkSession, base_root: str | None) -> int | None:
+    """Batch id of the newest compacted base under ``base_root`` (None if none)."""
+    if not base_root:
+        return None
+    try:
+        row = spark.read.parquet(base_root).agg(F.max("upto")).first()
+    except Exception as e:  # noqa: BLE001 - no base written yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) \
+                or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+    return None if row is None else row[0]
+
+
+def current(spark: SparkSession, path: str, keys: Sequence[str] | str,
+            base_root: str | None = None) -> DataFrame:
+    """Newest version of every key in a changelog table.
+
+    With compaction (``base_root``), only the newest base and the log
+    partitions after it are read (a static filter on ``batch_id``), so the
+    read does not grow with the number of batches.
+    """
+    log = spark.read.parquet(path)
+    upto = latest_base(spark, base_root)
+    if upto is not None:
+        base = (spark.read.parquet(base_root).filter(F.col("upto") == F.lit(upto))
+                     .drop("upto").withColumn(BATCH, F.lit(upto).cast("long")))
+        log = base.unionByName(log.filter(F.col(BATCH) > F.lit(upto)))
+    return newest_per_key(log, keys).drop(BATCH)
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str] | str, base_root: str,
+            upto: int) -> None:
+    """Write the newest row per key as of batch ``upto`` to ``base_root/upto=<id>``.
+
+    A new folder every time (never one that readers use); rewriting the same
+    ``upto`` after a failure is idempotent. Starts from the previous base.
+    """
+    log = spark.read.parquet(path).filter(F.col(BATCH) <= F.lit(upto))
+    prev = latest_base(spark, base_root)
+    if prev is not None and prev < upto:
+        base = (spark.read.parquet(base_root).filter(F.col("upto") == F.lit(prev))
+                     .drop("upto").withColumn(BATCH, F.lit(prev).cast("long")))
+        log = base.unionByName(log.filter(F.col(BATCH) > F.lit(prev)))
+    (newest_per_key(log, keys).drop(BATCH)
+        .write.mode("overwrite").parquet(f"{base_root.rstrip('/')}/upto={upto}"))
 
 
 def current_groups(spark: SparkSession, path: str, group: Sequence[str] | str) -> DataFrame:
@@ -102,10 +150,21 @@ def run(query: StreamingQuery, timeout: float | None = None) -> None:
 # -- running counts (word count, popularity) --------------------------------
 
 def running_counts(stream: DataFrame, keys: Sequence[str] | str, out_path: str, checkpoint: str,
-                   count: str = "count", trigger: str | None = "available_now") -> StreamingQuery:
-    """Count per key over the whole stream; changed keys appended per batch."""
+                   count: str = "count", trigger: str | None = "available_now",
+                   base_root: str | None = None,
+                   compact_every: int | None = None) -> StreamingQuery:
+    """Count per key over the whole stream; changed keys appended per batch.
+
+    With ``base_root`` and ``compact_every``, every n-th batch also writes a
+    compacted base so that ``current(..., base_root=...)`` reads stay bounded.
+    """
     agg = stream.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(count))
-    return start(agg, lambda b, i: write_batch(b, out_path, i), checkpoint, "update", trigger)
+
+    def sink(b: DataFrame, i: int) -> None:
+        write_batch(b, out_path, i)
+        if base_root and compact_every and (i + 1) % compact_every == 0:
+            compact(b.sparkSession, out_path, keys, base_root, i)
+    return start(agg, sink, checkpoint, "update", trigger)
 
 
 def seeded(counts: DataFrame, seed: DataFrame, keys: Sequence[str] | str,

@@ -152,3 +152,17 @@ def test_incremental_ranked_equals_batch(spark, tmp_path):
     want = top_k_by(mean_by(allb, ["origin", "carrier"], "delay", "m"), "origin", ["m", "carrier"], 2)
     assert rows(spark.read.parquet(out), "origin", "carrier", "m", "rank") == \
         rows(want, "origin", "carrier", "m", "rank")
+
+
+def test_changelog_compaction(spark, tmp_path):
+    from tests.test_explain_util import explain
+    src = _write_text_batches(tmp_path, WORD_BATCHES)
+    s = stream_source(spark, "text", src, max_files_per_trigger=1)
+    out, ck, base = str(tmp_path / "out"), str(tmp_path / "ck"), str(tmp_path / "base")
+    R.run(R.running_counts(tokens(s, "value"), "word", out, ck, base_root=base, compact_every=2))
+    assert R.latest_base(spark, base) == 3
+    want = rows(wordcount(spark.read.text(src), "value"))
+    assert rows(R.current(spark, out, "word", base_root=base)) == want
+    assert rows(R.current(spark, out, "word")) == want
+    plan = explain(R.current(spark, out, "word", base_root=base))
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "> 3" in plan
