@@ -255,3 +255,28 @@ def lookup_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish(q.best_trips(fx.flights(spark, sf_dir), TRIP_YEAR), path, "origin1", cluster=False)
     return lookup(spark, path, order=("start_date",), origin1=LOOKUP_TRIP[0],
                   dest1=LOOKUP_TRIP[1], dest2=LOOKUP_TRIP[2])
+
+
+# -- CSV sink and archive-layout source over the whole table -----------------
+
+@register("csv_ingest_roundtrip", FLIGHTS_CTE + """
+select flight_date, airline_id, flight_num, origin, dest, dep_min, arr_min,
+  dep_delay, arr_delay, cancelled, cancellation_code, diverted from flights""")
+def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw flights in the 75-column archive layout -> CSV files with a header
+    line each -> archive reader (per-file header skip, inner headers
+    dropped, 20 columns kept) -> parser."""
+    from skyroute.schemas import RAW_NAMES
+    from skyroute.sources.csv import filter_ontime, read_ontime_raw, write_csv
+    raw = fx.raw_flights(spark, sf_dir)
+    have = set(raw.columns)
+    wide = raw.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c)
+                        for c in RAW_NAMES.values()])
+    # header names as the archives carry them
+    wide = wide.toDF(*RAW_NAMES.keys())
+    path = scratch_path(spark, "ontime-csv")
+    write_csv(wide, path, header=True)
+    typed = accepted(parse_flights(filter_ontime(read_ontime_raw(spark, path))))
+    return typed.select("flight_date", "airline_id", "flight_num", "origin", "dest", "dep_min",
+                        "arr_min", "dep_delay", "arr_delay", "cancelled", "cancellation_code",
+                        "diverted")
