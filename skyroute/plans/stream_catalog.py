@@ -280,3 +280,19 @@ def csv_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.select("flight_date", "airline_id", "flight_num", "origin", "dest", "dep_min",
                         "arr_min", "dep_delay", "arr_delay", "cancelled", "cancellation_code",
                         "diverted")
+
+
+@register("od_csv_top", ORACLE_SQL["od_top"])
+def od_csv_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survey rows in the 34-column raw layout -> CSV with a header line per
+    file -> survey reader (project, drop inner headers and empty keys) ->
+    top-10 airports."""
+    from skyroute.schemas import SURVEY_RAW_NAMES
+    from skyroute.sources.csv import filter_survey, read_survey_raw, write_csv
+    raw = fx.raw_survey(spark, sf_dir)
+    have = set(raw.columns)
+    wide = raw.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c)
+                        for c in SURVEY_RAW_NAMES.values()]).toDF(*SURVEY_RAW_NAMES.keys())
+    path = scratch_path(spark, "survey-csv")
+    write_csv(wide, path, header=True)
+    return q.survey_top(filter_survey(read_survey_raw(spark, path)), 10)
