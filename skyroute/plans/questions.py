@@ -87,8 +87,12 @@ def top_carriers_by_path(flights: DataFrame, names: DataFrame | None = None,
 def weekday_delay(flights: DataFrame, year: int) -> DataFrame:
     """Mean arrival delay per weekday in ``year``, ranked best first."""
     f = trip_ready(flights, year)
-    means = mean_by(f.withColumn("day_of_week", weekday_name("flight_date")),
-                    "day_of_week", "arr_delay", "mean_arr_delay")
+    # group on the weekday number (no per-row string formatting); each of the
+    # seven groups is named once, from any of its dates, after the aggregate
+    means = (f.groupBy(F.dayofweek("flight_date").alias("_dow"))
+              .agg(F.avg("arr_delay").alias("mean_arr_delay"),
+                   F.min("flight_date").alias("_any_date"))
+              .select(weekday_name("_any_date").alias("day_of_week"), "mean_arr_delay"))
     # seven rows at most after the aggregate: an unpartitioned window is bounded
     return means.withColumn(
         "rank", F.row_number().over(Window.orderBy("mean_arr_delay", "day_of_week")))
