@@ -6,6 +6,8 @@ table. Folders live under the session's shared checkpoint location.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,16 +22,30 @@ from skyroute.streaming.sources import split_to_batches, stream_source
 
 N_BATCHES = 5
 
+_PUBLISHED: dict = {}
+
+
+def _published(spark: SparkSession, key: tuple, publish) -> str:
+    """Input batches are published once per session (as a producer would) and
+    every consuming stream reads them from the start with its own checkpoint."""
+    k = (spark.sparkContext.applicationId, os.path.abspath(key[1])) + key[:1] + key[2:]
+    if k not in _PUBLISHED:
+        path = scratch_path(spark, key[0] + "-batches")
+        publish(path)
+        _PUBLISHED[k] = path
+    return _PUBLISHED[k]
+
 
 def flight_line_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
                        lines_per_message: int = DEFAULT_CHUNK) -> DataFrame:
     """Raw flights rendered as CSV lines, packed into chunked messages (as a
     producer publishes them) and written in ``n`` batches; read back as a
     stream of typed flights: message -> lines -> CSV fields -> parser."""
-    path = scratch_path(spark, "flight-messages")
-    lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)), "line")
-    msgs = to_messages(with_positions(lines), lines_per_message).select("value")
-    split_to_batches(msgs, path, n, F.pmod(F.crc32(F.col("value")), F.lit(n)))
+    def publish(path: str) -> None:
+        lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)), "line")
+        msgs = to_messages(with_positions(lines), lines_per_message).select("value")
+        split_to_batches(msgs, path, n, F.pmod(F.crc32(F.col("value")), F.lit(n)))
+    path = _published(spark, ("flights", sf_dir, n, lines_per_message), publish)
     s = stream_source(spark, "files", path, schema="value string, batch int",
                       max_files_per_trigger=1)
     return accepted(parse_flights(flights_from_lines(lines_from_messages(s))))
@@ -37,8 +53,9 @@ def flight_line_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
 
 def document_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES) -> DataFrame:
     """``documents`` in ``n`` batches (doc_id mod n), one file per batch."""
-    path = scratch_path(spark, "documents")
-    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-    split_to_batches(docs, path, n, F.pmod(F.col("doc_id"), F.lit(n)))
+    def publish(path: str) -> None:
+        docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+        split_to_batches(docs, path, n, F.pmod(F.col("doc_id"), F.lit(n)))
+    path = _published(spark, ("documents", sf_dir, n), publish)
     return stream_source(spark, "files", path, schema="doc_id long, text string, batch int",
                          max_files_per_trigger=1)
