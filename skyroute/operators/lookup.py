@@ -26,10 +26,11 @@ def with_names(df: DataFrame, names: DataFrame, key: str, name_key: str = "code"
     """Left join of a name onto ``df[key]``; unknown ids get a null name.
 
     The lookup key is cast to the type of ``df[key]`` once on the lookup side
-    (text ids in the lookup file, integer ids in the data).
+    (text ids in the lookup file, integer ids in the data); a code that does
+    not parse matches nothing.
     """
     key_type = df.schema[key].dataType
-    lk = (names.select(F.col(name_key).cast(key_type).alias("_lk"), F.col(name_col).alias(out))
+    lk = (names.select(F.col(name_key).try_cast(key_type).alias("_lk"), F.col(name_col).alias(out))
                .groupBy("_lk").agg(F.max(out).alias(out)))
     lk = sized_broadcast(lk, max_rows)
     return df.join(lk, df[key] == lk["_lk"], "left").drop("_lk")

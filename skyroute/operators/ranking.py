@@ -71,12 +71,14 @@ def rank_with_ties(df: DataFrame, value: str, rank: str = "rank",
       4. inside a bucket, a running sum over better values (window
          partitioned by bucket);
       5. join the rank of each value back to the rows.
-    ``value`` must be a non-negative number (counts); nulls rank last.
+    ``value`` is any number (counts, means); nulls rank last. The bucket
+    table has about 2 x 64 x ``buckets_per_octave`` rows at most.
     """
     sign = -1.0 if descending else 1.0
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_h"))
     # monotone in the ordering direction: better value -> smaller bucket
-    logv = F.log2(F.col(value).cast("double") + F.lit(1.0))
+    v = F.col(value).cast("double")
+    logv = F.signum(v) * F.log2(F.abs(v) + F.lit(1.0))   # monotone over all reals
     bucket = F.floor(F.lit(sign) * logv * F.lit(float(buckets_per_octave))).cast("long")
     hist = hist.withColumn("_b", F.coalesce(bucket, F.lit(2**62)))
     totals = hist.groupBy("_b").agg(F.sum("_h").alias("_bt"))

@@ -121,7 +121,7 @@ def test_survey_cleanup(spark, tmp_path):
 def test_lookup_csv_names(spark, tmp_path):
     p = tmp_path / "lookup.csv"
     p.write_text('Code,Description\n19805,"American Airlines Inc.: AA"\n'
-                 '19790,"Delta Air Lines Inc.: DL"\n20355,"US Airways, Inc."\n')
+                 '19790,"Delta Air Lines Inc.: DL"\n20355,"US Airways, Inc."\nXX1,"Bad code"\n')
     names = read_lookup(spark, str(p))
     df = spark.createDataFrame([(19805, 1.0), (20355, 2.0), (11111, 3.0)], "airline_id long, m double")
     got = rows(with_names(df, names, "airline_id"), "airline_id", "name")

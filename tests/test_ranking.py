@@ -49,3 +49,15 @@ def test_top_k_by_group(spark):
     df = spark.createDataFrame(data, "origin string, carrier long, delay double")
     got = rows(top_k_by(df, "origin", ["delay", "carrier"], 2), "origin", "carrier", "rank")
     assert got == [("X", 2, 2), ("X", 4, 1), ("Y", 9, 1)]
+
+
+def test_rank_with_ties_negative_and_fractional(spark):
+    rnd = random.Random(9)
+    data = [(f"k{i}", rnd.choice([-1e6, -3.5, -1.0, -0.5, 0.0, 0.25, 1.0, 7.75, None,
+                                  float(rnd.randint(-1000, 1000))])) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, v double")
+    for desc in (True, False):
+        ours = rows(rank_with_ties(df, "v", descending=desc), "k", "rank")
+        order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
+        ref = rows(df.withColumn("rank", F.rank().over(Window.orderBy(order))), "k", "rank")
+        assert ours == ref
