@@ -3,7 +3,7 @@
 from skyroute import jobs
 from skyroute.plans import questions as q
 from skyroute.plans.fixture import read_stored_flights
-from skyroute.sources.csv import filter_ontime, read_ontime_raw, write_csv
+from skyroute.sources.csv import filter_ontime, read_ontime_filtered, read_ontime_raw, write_csv
 from tests.conftest import rows
 from tests.test_csv_sources import write_raw_ontime
 
@@ -39,3 +39,44 @@ def test_load_rank_publish_lookup_and_stream(spark, tmp_path, capsys):
     got = rows(spark.read.parquet(sout), "origin", "airline_id", "mean", "rank")
     assert [(o, a, m, r) for o, a, m, r in got] == \
         [(o, a, m, r) for o, a, m, r in want]
+
+
+def test_stream_jobs_wordcount_and_two_leg(spark, tmp_path):
+    from skyroute.operators.aggregate import wordcount
+    from skyroute.operators.flights import accepted, parse_flights
+    from skyroute.operators.trips import best_trips
+    from skyroute.streaming.running import current
+    from tests.test_trips import LEGS, SCHEMA
+    from pyspark.sql import functions as F
+    # flights as filtered CSV lines (20-column layout) written from the leg fixture
+    legs = spark.createDataFrame(LEGS, SCHEMA)
+    def hhmm(c):
+        return F.concat(F.lpad((F.col(c) / 60).cast("int").cast("string"), 2, "0"),
+                        F.lpad((F.col(c) % 60).cast("string"), 2, "0"))
+    kept = legs.select(
+        F.col("flight_date").cast("string").alias("flight_date"),
+        F.col("airline_id").cast("string").alias("airline_id"),
+        F.col("flight_num").cast("string").alias("flight_num"), "origin",
+        F.lit("").alias("origin_city_name"), F.lit("").alias("origin_state_name"), "dest",
+        F.lit("").alias("dest_city_name"), F.lit("").alias("dest_state_name"),
+        hhmm("dep_min").alias("crs_dep_time"), F.lit("0").alias("dep_delay"),
+        hhmm("arr_min").alias("crs_arr_time"), F.col("arr_delay").cast("string").alias("arr_delay"),
+        F.col("cancelled").cast("int").cast("string").alias("cancelled"), F.lit("").alias("cancellation_code"),
+        F.col("diverted").cast("int").cast("string").alias("diverted"),
+        *[F.lit("").alias(c) for c in ("crs_elapsed_time", "actual_elapsed_time", "air_time", "distance")])
+    lines = str(tmp_path / "lines")
+    write_csv(kept.coalesce(1), lines)
+    out = str(tmp_path / "trips")
+    jobs.main(["stream", "two-leg", "--source", "files", "--path", lines, "--output", out,
+               "--checkpoint", str(tmp_path / "ck1"), "--trigger", "available_now"])
+    typed = accepted(parse_flights(read_ontime_filtered(spark, lines)))
+    cols = ["origin1", "dest1", "dest2", "startdate", "flightnum1", "flightnum2", "total_delay"]
+    assert rows(spark.read.parquet(out), *cols) == rows(best_trips(typed, 2008), *cols)
+    assert rows(best_trips(typed, 2008), *cols) == rows(best_trips(legs, 2008), *cols)
+
+    wc = str(tmp_path / "wc")
+    jobs.main(["stream", "wordcount", "--source", "files", "--path", lines, "--sep", ",",
+               "--output", wc, "--checkpoint", str(tmp_path / "ck2"), "--trigger", "available_now",
+               "--compact-every", "1"])
+    want = rows(wordcount(spark.read.text(lines), "value", ","))
+    assert rows(current(spark, wc, "word", base_root=wc + "_base")) == want
