@@ -3,10 +3,14 @@
 State: the best flight per leg key (side, date, origin, dest) as a streaming
 ``min(struct(order..., flight...))`` aggregate, so a first leg and a second
 leg that arrive in different micro-batches still meet, and a replayed batch
-cannot change a minimum. After each micro-batch the trip table is rebuilt
-from the best legs (one row per route and day and side, a table bounded by
-the route-day domain, not by the number of flights) with the batch join of
-``operators.trips``.
+cannot change a minimum. Two sinks:
+
+* ``stream_two_leg`` (complete mode): after each micro-batch the trip table
+  is rebuilt from all best legs, a table bounded by the route-day domain.
+  Simple; fine for small inputs.
+* ``stream_two_leg_incremental`` (update mode): only the changed best legs
+  are merged into a month-partitioned leg table, and trips are recomputed
+  for the touched start months only.
 """
 
 from __future__ import annotations
