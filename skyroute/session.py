@@ -18,6 +18,11 @@ DEFAULT_CONF = {
     # a generated method above 8000 bytes is never JIT-compiled by the JVM;
     # fall back to per-operator code for such stages instead of interpreting it
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # streaming state off the JVM heap (keys can number in the millions), with
+    # incremental changelog checkpoints instead of full snapshots per batch
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
