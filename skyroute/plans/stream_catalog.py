@@ -84,7 +84,7 @@ def stream_top_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = popularity(flights, ("origin", "dest"), "airport", "count")
     derive = lambda b: top_k(b, [("count", "desc"), "airport"], 10)
     R.run(R.snapshot(agg, derive, out, ck))
-    return spark.read.parquet(out)
+    return R.read_snapshot(spark, out)
 
 
 def _mean_snapshot(spark, sf_dir, name, keys, metric, derive, partition_cols=()):
@@ -94,7 +94,7 @@ def _mean_snapshot(spark, sf_dir, name, keys, metric, derive, partition_cols=())
     out, ck = _dirs(spark, name)
     agg = R.running_sum_count(_completed_stream(spark, sf_dir, keys), keys, metric)
     R.run(R.snapshot(agg, derive, out, ck, partition_cols))
-    return spark.read.parquet(out)
+    return R.read_snapshot(spark, out)
 
 
 def _mean_incremental(spark, sf_dir, name, keys, metric, derive, part_col="origin"):

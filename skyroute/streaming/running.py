@@ -196,15 +196,28 @@ def running_sum_count(stream: DataFrame, keys: Sequence[str] | str, metric: str)
 def snapshot(agg: DataFrame, derive: Callable[[DataFrame], DataFrame], out_path: str,
              checkpoint: str, partition_cols: Sequence[str] = (),
              trigger: str | None = "available_now") -> StreamingQuery:
-    """Complete-mode aggregate -> derived table, rewritten every micro-batch."""
+    """Complete-mode aggregate -> derived table, one new version per micro-batch.
+
+    Each batch writes ``version=<batch id>`` (a replay rewrites its own
+    version), so readers of ``read_snapshot`` never see a half-written table.
+    """
     def sink(b: DataFrame, i: int) -> None:
-        w = derive(b).write.mode("overwrite")
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.parquet(out_path)
+        out = derive(b).withColumn(VERSION, F.lit(i).cast("long"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(VERSION, *partition_cols).parquet(out_path))
     return start(agg, sink, checkpoint, "complete", trigger)
 
 
+VERSION = "version"
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """Newest complete version of a snapshot table (older versions are pruned)."""
+    df = spark.read.parquet(path)
+    newest = df.agg(F.max(VERSION)).first()[0]
+    return df.filter(F.col(VERSION) == F.lit(newest)).drop(VERSION)
+
+
 # -- incremental per-group rankings -------------------------------------------
 
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:

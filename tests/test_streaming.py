@@ -85,7 +85,8 @@ def test_stream_two_leg_across_batches_and_replay(spark, tmp_path):
     out, ck = str(tmp_path / "trips"), str(tmp_path / "ck")
     R.run(stream_two_leg(s, 2008, out, ck))
     cols = ["origin1", "dest1", "dest2", "startdate", "flightnum1", "flightnum2", "total_delay"]
-    assert rows(spark.read.parquet(out), *cols) == rows(best_trips(df, 2008), *cols)
+    assert rows(R.read_snapshot(spark, out), *cols) == rows(best_trips(df, 2008), *cols)
+    assert spark.read.parquet(out).select("version").distinct().count() >= 3
 
 
 def test_per_batch_counts(spark, tmp_path):
