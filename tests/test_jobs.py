@@ -80,3 +80,48 @@ def test_stream_jobs_wordcount_and_two_leg(spark, tmp_path):
                "--compact-every", "1"])
     want = rows(wordcount(spark.read.text(lines), "value", ","))
     assert rows(current(spark, wc, "word", base_root=wc + "_base")) == want
+
+
+def test_remaining_batch_jobs(spark, tmp_path, capsys):
+    import csv
+    import io
+    import os
+    from skyroute.schemas import SURVEY_RAW_COLUMNS
+    from tests.test_ingest import _archives
+    # unzip: lines of the csv members as gzip chunks, errors reported
+    root = _archives(tmp_path)
+    jobs.main(["unzip", "--input", str(root), "--output", str(tmp_path / "chunks"),
+               "--lines-per-file", "10"])
+    assert any(f.endswith(".gz") for f in os.listdir(tmp_path / "chunks"))
+    assert spark.read.json(str(tmp_path / "chunks_errors")).count() == 1
+    # survey: load (filter) then top airports
+    buf = io.StringIO()
+    w = csv.writer(buf, lineterminator="\n")
+    w.writerow(SURVEY_RAW_COLUMNS)
+    for o, d in [("ORD", "LAX"), ("LAX", "ORD"), ("ORD", "JFK"), ("", "ORD")]:
+        r = [""] * len(SURVEY_RAW_COLUMNS)
+        r[SURVEY_RAW_COLUMNS.index("Origin")], r[SURVEY_RAW_COLUMNS.index("Dest")] = o, d
+        w.writerow(r)
+    (tmp_path / "survey").mkdir()
+    (tmp_path / "survey" / "s.csv").write_text(buf.getvalue())
+    jobs.main(["load-survey", "--input", str(tmp_path / "survey"),
+               "--output", str(tmp_path / "survey_f")])
+    jobs.main(["survey-top", "--survey", str(tmp_path / "survey_f"),
+               "--output", str(tmp_path / "survey_top")])
+    assert rows(spark.read.parquet(str(tmp_path / "survey_top")), "airport", "count") == [
+        ("JFK", 1), ("LAX", 2), ("ORD", 3)]
+    # flights: load, then popularity, weekday, two-leg and dests-by-origin
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_raw_ontime(raw / "p.csv")
+    typed = str(tmp_path / "typed")
+    jobs.main(["load", "--input", str(raw), "--output", typed])
+    for job, extra in [("popularity", []), ("weekday", ["--year", "2008"]),
+                       ("two-leg", ["--year", "2008"]), ("dests-by-origin", [])]:
+        out = str(tmp_path / job)
+        jobs.main([job, "--flights", typed, "--output", out, *extra])
+        assert os.path.isdir(out)
+    assert spark.read.parquet(str(tmp_path / "popularity")).count() == 4
+    # flights 1 (Thu) and 8 (Sat) are the only completed ones with known times and delay
+    assert rows(spark.read.parquet(str(tmp_path / "weekday")), "day_of_week") == [
+        ("Saturday",), ("Thursday",)]
