@@ -22,7 +22,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFr
 
 def with_names(df: DataFrame, names: DataFrame, key: str, name_key: str = "code",
                name_col: str = "description", out: str = "name",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
     """Left join of a name onto ``df[key]``; unknown ids get a null name.
 
     The lookup key is cast to the type of ``df[key]`` once on the lookup side
@@ -32,5 +32,9 @@ def with_names(df: DataFrame, names: DataFrame, key: str, name_key: str = "code"
     key_type = df.schema[key].dataType
     lk = (names.select(F.col(name_key).try_cast(key_type).alias("_lk"), F.col(name_col).alias(out))
                .groupBy("_lk").agg(F.max(out).alias(out)))
-    lk = sized_broadcast(lk, max_rows)
+    # ``small``: a size check already made for this lookup (e.g. once per
+    # stream rather than once per micro-batch); None probes now
+    if small is None:
+        small = fits_broadcast(lk, max_rows)
+    lk = F.broadcast(lk) if small else lk
     return df.join(lk, df[key] == lk["_lk"], "left").drop("_lk")

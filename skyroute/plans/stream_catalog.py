@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyroute.operators.aggregate import popularity, tokens
 from skyroute.operators.flights import accepted, parse_flights
-from skyroute.operators.lookup import with_names
+from skyroute.operators.lookup import fits_broadcast, with_names
 from skyroute.operators.ranking import top_k, top_k_by
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q
@@ -118,22 +118,25 @@ def _completed_stream(spark, sf_dir, keys):
 @register("stream_top_airlines", ORACLE_SQL["top_airlines"])
 def stream_top_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = fx.airline_names(spark, sf_dir)
+    small = fits_broadcast(names)  # checked once per stream
 
     def derive(b):
         means = b.select("airline_id", (F.col("total") / F.col("n")).alias("mean_arr_delay"))
-        return with_names(top_k(means, ["mean_arr_delay", "airline_id"], 10), names, "airline_id")
+        return with_names(top_k(means, ["mean_arr_delay", "airline_id"], 10), names, "airline_id",
+                          small=small)
     return _mean_snapshot(spark, sf_dir, "top-airlines", ["airline_id"], "arr_delay", derive)
 
 
 @register("stream_mean_carrier", TOP_CARRIERS_BY_ORIGIN_SQL)
 def stream_mean_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = fx.airline_names(spark, sf_dir)
+    small = fits_broadcast(names)  # checked once per stream
 
     def derive(b):
         means = b.select("origin", F.col("airline_id").alias("airlineid"),
                          (F.col("total") / F.col("n")).alias("depdelay"))
         top = top_k_by(means, "origin", ["depdelay", "airlineid"], 10)
-        return with_names(top, names, "airlineid", out="airline")
+        return with_names(top, names, "airlineid", out="airline", small=small)
     return _mean_incremental(spark, sf_dir, "carriers-by-origin", ["origin", "airline_id"],
                           "dep_delay", derive)
 
@@ -151,13 +154,14 @@ def stream_top_dests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_carriers_by_path", TOP_CARRIERS_BY_PATH_SQL)
 def stream_carriers_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = fx.airline_names(spark, sf_dir)
+    small = fits_broadcast(names)  # checked once per stream
 
     def derive(b):
         means = b.select("origin", F.col("dest").alias("destination"),
                          F.col("airline_id").alias("airlineid"),
                          (F.col("total") / F.col("n")).alias("arrdelay"))
         top = top_k_by(means, ["origin", "destination"], ["arrdelay", "airlineid"], 10)
-        return with_names(top, names, "airlineid", out="airline")
+        return with_names(top, names, "airlineid", out="airline", small=small)
     return _mean_incremental(spark, sf_dir, "carriers-by-path", ["origin", "dest", "airline_id"],
                           "arr_delay", derive)
 
