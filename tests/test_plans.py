@@ -5,19 +5,9 @@ from skyroute.sources.tables import lookup, publish
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q
 from tests.conftest import SF_SMALL
+from tests.explain_util import explain
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def explain(df):
-    import contextlib
-    import io
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    return buf.getvalue()
 
 
 def test_top_k_by_group_limits_before_shuffle(spark):

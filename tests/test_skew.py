@@ -9,7 +9,7 @@ from skyroute.operators.aggregate import mean_by, popularity, wordcount
 from skyroute.operators.ranking import rank_with_ties, top_k_by
 from skyroute.operators.trips import best_trips, leg_pairs
 from tests.conftest import rows
-from tests.test_explain_util import explain
+from tests.explain_util import explain
 from tests.test_trips import SCHEMA, _naive, leg
 
 import datetime as dt

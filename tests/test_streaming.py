@@ -156,7 +156,7 @@ def test_incremental_ranked_equals_batch(spark, tmp_path):
 
 
 def test_changelog_compaction(spark, tmp_path):
-    from tests.test_explain_util import explain
+    from tests.explain_util import explain
     src = _write_text_batches(tmp_path, WORD_BATCHES)
     s = stream_source(spark, "text", src, max_files_per_trigger=1)
     out, ck, base = str(tmp_path / "out"), str(tmp_path / "ck"), str(tmp_path / "base")
