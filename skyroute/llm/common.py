@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,18 @@ from skyroute.session import scratch_path
 
 #: ``broadcast()`` is hinted only for tables whose measured size is at most this many bytes.
 BROADCAST_BYTES = 64 << 20
+#: Distinct words whose hashes a Python worker keeps.
+KEPT_WORDS = 1_000_000
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, kept for a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -7,11 +7,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import chat, sharding, token_counts, warc
-from skyroute.llm.common import read, stored
+from skyroute.llm import bm25, chat, decontaminate, langid, mixing, near_dedup, quality, sharding, token_counts, warc
+from skyroute.llm.common import id_fold, read, stored
 from skyroute.session import scratch_path
 
 SHARDS, SEED = 24, 20_260_101
+MIX_POWER, MIX_ROUNDS = 0.7, 12
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,6 +24,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
+    mixed = mixing.mix(docs, dims, mixing.n_tokens(F.col("text")), power=MIX_POWER, rounds=MIX_ROUNDS, seed=SEED)
+    return mixed.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"),
+                        F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"),
+                        F.col("__weight").alias("weight"), F.col("__probability").alias("probability"),
+                        F.col("__draw").alias("draw"), F.col("__sampled").alias("sampled"))
+
+
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -33,10 +44,34 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    fold = id_fold(F.col("doc_id"))
+    machine = quality.fit(docs, labels.where(fold != 2).select("doc_id", "quality"))
+    return quality.score(docs, machine).withColumn("held_out", fold == 2)
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fold = id_fold(F.col("doc_id"))
+    model = langid.fit(docs.where(fold != 2))
+    return langid.predict(docs, model).withColumn("held_out", fold == 2)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -53,6 +88,98 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.char_length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op9_bm25_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    hits = bm25.top_k(docs, docs.where("doc_id % 20 = 0"), k=10)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    records = warc.resolved(warc.read_archives(spark, path, keep_payload=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_feistel_shards, op3_near_dedup, op4_token_counts, op5_decontaminate, op6_quality, op7_language_id,
+    op8_chat_format, op9_bm25_top_k, op10_warc)}
+
+
+# ---- the same results in DuckDB SQL ----
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _sql_words(breaks: str) -> str:
+    return f"list_filter(string_split_regex({_LOWER}, '{breaks}'), lambda w: w <> '')"
+
+
+_SPACES = "[\\x20\\x09-\\x0D]+"
+_WORDS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+
+def _op1_sql() -> str:
+    dims = ("source", "lang", "topic")
+    ctes = [f"""d AS (SELECT doc_id, source, lang,
+      CASE WHEN contains(t, ' | ') THEN 'table' WHEN contains(t, 'icense') THEN 'licensed'
+        WHEN contains(t, '%%%') OR contains(t, '###') OR contains(t, '$$$') THEN 'markup'
+        WHEN contains(t, '@') THEN 'contact' ELSE 'prose' END AS topic,
+      len(list_filter(string_split_regex(t, '{_SPACES}'), lambda w: w <> '')) AS n_tokens,
+      CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) / 4503599627370496.0 AS draw
+      FROM (SELECT *, coalesce(text, '') AS t FROM documents))""",
+            "c AS (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM d GROUP BY ALL)"]
+    for k in dims:
+        ctes.append(f"t_{k} AS (SELECT {k}, pow(sum(tokens), {MIX_POWER}) / sum(pow(sum(tokens), {MIX_POWER})) OVER () AS target_{k} "
+                    f"FROM c GROUP BY {k})")
+    ctes.append("r0 AS (SELECT c.*, tokens / sum(tokens) OVER () AS w, target_source, target_lang, target_topic FROM c "
+                + " ".join(f"JOIN t_{k} ON c.{k} IS NOT DISTINCT FROM t_{k}.{k}" for k in dims) + ")")
+    n = 0
+    for _ in range(MIX_ROUNDS):
+        for k in dims:
+            ctes.append(f"r{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (w), CASE WHEN sum(w) OVER (PARTITION BY {k}) > 0 "
+                        f"THEN w * target_{k} / sum(w) OVER (PARTITION BY {k}) ELSE 0.0 END AS w FROM r{n})")
+            n += 1
+    return f"""WITH {', '.join(ctes)},
+p AS (SELECT source, lang, topic, round(w, 9) AS weight,
+  round(coalesce(CASE WHEN tokens > 0 THEN w / tokens END
+    / (SELECT max(CASE WHEN tokens > 0 THEN w / tokens END) FROM r{n}), 1.0), 9) AS probability FROM r{n})
+SELECT doc_id, d.source, d.lang, d.topic, n_tokens, weight, probability, draw, draw < probability AS sampled
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic = p.topic"""
+
+
+_OP3_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_sql_words(_SPACES)} AS words FROM documents),
+s AS (SELECT doc_id, CASE len(words) WHEN 0 THEN [] WHEN 1 THEN words
+  ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS shingles FROM w),
+u AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x),
+c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN c ON s.doc_id = c.x
+"""
+
+_OP5_SQL = f"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_sql_words(_WORDS)} AS words FROM benchmark),
+spans AS (SELECT DISTINCT item, words[i:i + 9] AS win
+  FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+d AS (SELECT doc_id, {_sql_words(_WORDS)} AS words FROM documents),
+grams AS (SELECT doc_id, n, i, words[i:i + n - 1] AS win
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+    FROM d, (SELECT DISTINCT len(win) AS n FROM spans))),
+hits AS (SELECT doc_id, n, i, item FROM grams JOIN spans USING (win)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def _sql_escaped(column: str) -> str:
     out = f"replace({column}, '&', '&amp;')"
     for mark, name in chat.ESCAPES:
@@ -77,13 +204,27 @@ SELECT conv_id, count(*) AS n_turns,
 FROM u GROUP BY conv_id
 """
 
+_OP9_SQL = f"""
+WITH d AS (SELECT doc_id, {_sql_words(_WORDS)} AS words FROM documents),
+t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(words) AS n, unnest(words) AS term FROM d) GROUP BY ALL),
+g AS (SELECT count(*) AS docs, avg(len(words)) AS mean_length FROM d),
+f AS (SELECT term, ln(1 + ((SELECT docs FROM g) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t GROUP BY term),
+s AS (SELECT q.doc_id AS query_id, t.doc_id, round(sum(idf * t.tf * {bm25.K1 + 1}
+    / (t.tf + {bm25.K1} * ({1 - bm25.B} + {bm25.B} * t.n / mean_length))), 9) AS score
+  FROM t AS q JOIN t USING (term) JOIN f USING (term), g WHERE q.doc_id % 20 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10
+"""
 
-def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "warc")
-    warc.write_archives(read(spark, sf_dir, "pages"), path)
-    records = warc.resolved(warc.read_archives(spark, path, keep_payload=False))
-    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status")
-
+_OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to, 'ok' AS status
+FROM q
+"""
 
-QUERIES = {f.__name__: f for f in (op2_feistel_shards, op4_token_counts, op8_chat_format, op10_warc)}
-ORACLE_SQL: dict[str, str] = {"op8_chat_format": _OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": _op1_sql(), "op3_near_dedup": _OP3_SQL, "op5_decontaminate": _OP5_SQL, "op8_chat_format": _OP8_SQL,
+    "op9_bm25_top_k": _OP9_SQL, "op10_warc": _OP10_SQL}
