@@ -7,8 +7,8 @@
    copies never meet in a band, however many there are.
 3. In each band bucket every member is paired with the bucket's smallest id only. All
    pairs that share a bucket but are still in different components after that are
-   compared in a second round, so no link between different texts is lost and no
-   group of alike documents is expanded into all its pairs.
+   compared block by block inside tasks (``across``), which emit the few that pass; so
+   no link between different texts is lost and no group is expanded into all its pairs.
 4. Pairs are checked signature batch by signature batch: a pair goes as soon as the
    posterior probability (uniform prior) of a similarity of ``threshold`` or more is
    below ``miss``. What survives is confirmed on the full shingle sets.
@@ -184,6 +184,105 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     return joined.mapInArrow(compare, "a long, b long")
 
 
+#: Members of a bucket that are compared with each other at once.
+BLOCK = 4096
+
+
+def across(split: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, batch: int, k: int,
+           percent: int, miss: float, seed: int) -> DataFrame:
+    """(a, b) of different components that share a bucket and seem as alike as asked for.
+
+    ``split`` has (key, id, component, n) of the buckets with several components. Their
+    members come together in blocks of about ``BLOCK`` rows (a larger bucket as pairs of
+    blocks, in several tasks) with a profile of their text, and only the pairs that pass
+    are emitted: by size, by the signature batches and by the number of common shingles,
+    which 32-bit hashes never count too low. A pair is compared in the first of its
+    buckets only.
+    """
+    steps = [batch, 2 * batch]
+    least = least_matches(steps, percent / 100, miss)
+    ids = stored(split.select("id").distinct(), "near-ids")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_col)
+
+    def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = MinHash(bands, rows, seed)
+        for b in batches:
+            for i in range(0, b.num_rows, 512):
+                part = b.slice(i, 512)
+                sets = [shingle_set(t, k) for t in _texts(part, 1)]
+                signed = [hasher.signature(x) for x in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([hasher.keys(m).astype(np.uint32).tobytes() for m in signed], pa.binary()),
+                     pa.array([m[:steps[-1]].astype(np.uint16).tobytes() for m in signed], pa.binary()),
+                     pa.array([np.sort(x.astype(np.uint32)).tobytes() for x in sets], pa.binary())],
+                    ["id", "bands", "signature", "shingles"])
+
+    profile = stored(texts.join(hinted(ids, ids.count(), 32), "id", "left_semi").mapInArrow(
+        profiles, "id long, bands binary, signature binary, shingles binary"), "near-profiles").dropDuplicates(["id"])
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = (split.select("key", "id", "component", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"),
+                           F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+              .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id",
+                      "component", "block"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+        for b in batches:
+            found = []
+            places = list(zip(*(b.column(c).to_pylist() for c in range(3)), strict=True))
+            for i, place in enumerate(places):
+                if place != group:
+                    found += _block_pairs(group, held, steps, least, percent)
+                    group, held = place, []
+                held.append(tuple(b.column(c)[i] for c in range(3, 9)))
+            yield _pairs(found)
+        yield _pairs(_block_pairs(group, held, steps, least, percent))
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = ["key", "low", "high"]
+    return (placed.join(profile, "id").select(*place, "id", "component", "block", "bands", "signature", "shingles")
+            .repartition(parts, *place).sortWithinPartitions(*place).mapInArrow(compare, "a long, b long").distinct())
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([min(p) for p in found], pa.int64()),
+                                       pa.array([max(p) for p in found], pa.int64())], ["a", "b"])
+
+
+def _block_pairs(place: tuple | None, held: list[tuple], steps: list[int], least: list[int],
+                 percent: int) -> list[tuple[int, int]]:
+    if place is None or len(held) < 2:
+        return []
+    ids, component, block = (np.array([h[c].as_py() for h in held], np.int64) for c in range(3))
+    if (component == component[0]).all():
+        return []
+    bands, signature = (np.stack([np.frombuffer(h[c].as_buffer(), t) for h in held]) for c, t in
+                        ((3, np.uint32), (4, np.uint16)))
+    shingles = [np.frombuffer(h[5].as_buffer(), np.uint32) for h in held]
+    size = np.array([len(x) for x in shingles])
+    band = int(np.flatnonzero(bands[0] == np.array([place[0]]).astype(np.uint32)[0])[0])
+    one_block, out = place[1] == place[2], []
+    for i in range(len(held) - 1):
+        j = np.arange(i + 1, len(held))
+        alike = 100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i])
+        j = j[alike & (component[j] != component[i]) & (one_block | (block[j] != block[i]))]
+        if band and len(j):
+            j = j[~(bands[j, :band] == bands[i, :band]).any(axis=1)]
+        for end, need in zip(steps, least, strict=True):
+            if len(j):
+                j = j[(signature[j, :end] == signature[i, :end]).sum(axis=1) >= need]
+        if not len(j):
+            continue
+        own = shingles[i]
+        others = np.concatenate([shingles[x] for x in j])
+        at = np.searchsorted(own, others)
+        at[at == len(own)] = 0
+        both = np.add.reduceat((own[at] == others).astype(np.int64), np.r_[0, np.cumsum(size[j])[:-1]])
+        for x in j[100 * both >= percent * (size[i] + size[j] - both)]:
+            out.append((int(ids[i]), int(ids[x])))
+    return out
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); the component is its smallest id."""
     edges = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
@@ -227,18 +326,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = linked(stars)
 
     label = components(first)
-    held = (members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    sizes = held.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mains = (sizes.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                      F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-    split = stored(held.join(mains, "key").select("key", "id", "pivot", "component", "main"), "near-split")
-    x = split.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), "main")
-    y = split.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
-    # a pair of two members outside the main component comes from both sides: keep it once
-    cross = (x.join(y, "key").where("cx <> cy and (cy = main or x < y)")
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-             .join(stars, ["a", "b"], "left_anti"))
-    links = first.unionByName(linked(cross))
+    held = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
+                                     F.max("component").alias("high")).where("low < high").select("key", "n"))
+    split = stored(held.join(mixed, "key").select("key", "id", "component", "n"), "near-split")
+    crossing = stored(across(split, docs, id_col, text_col, bands, rows, batch, k, percent, miss, seed), "near-crossing")
+    links = first.unionByName(stored(confirmed(crossing, docs, id_col, text_col, k, percent), "near-links"))
 
     final = components(links).withColumnRenamed("id", "rep").withColumnRenamed("component", "found")
     groups = classes.where("n > 1").select("digest", "rep")
