@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: scheduled times are "hhmm" with hours 0-23 and minutes 0-59,
-# one or two digits each, no sign or spaces; "2400" means midnight.
-HHMM_PATTERN = r"^(2[0-3]|[0-1][0-9]|[0-9])([0-5][0-9]|[0-9])$"
+# Fixed value: a date is year, month and day in digits, the whole token.
+DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def _col(c) -> Column:
@@ -20,9 +19,9 @@ def _col(c) -> Column:
 def hhmm_minutes(c) -> Column:
     """'hhmm' -> minutes after midnight (int), '2400' -> 0, anything else -> null.
 
-    Same answers as matching ``HHMM_PATTERN`` (hour: 2[0-3] | [0-1]d | d,
-    then minute: [0-5]d | d, whole token), written as fixed-position
-    character tests so no regular expression runs per row:
+    Hours are 0-23 and minutes 0-59, one or two digits each, no sign or spaces
+    (hour: 2[0-3] | [0-1]d | d, then minute: [0-5]d | d, whole token), written
+    as fixed-position character tests so no regular expression runs per row:
       2 digits: h = 1st, m = 2nd
       3 digits: h = first two if they form an hour (2[0-3] or [01]d), m = 3rd;
                 else h = 1st and m = last two when the 2nd is 0-5
@@ -46,8 +45,15 @@ def hhmm_minutes(c) -> Column:
 
 
 def lenient_double(c) -> Column:
-    """Float field: unparsable or empty text -> null."""
-    return _try_cast(F.nullif(F.trim(_col(c)), F.lit("")), "double")
+    """Float field: unparsable or empty text -> null.
+
+    Only decimal notation with an optional exponent and the words for not-a-number
+    and infinity count; type suffixes and hexadecimal do not.
+    """
+    s = F.trim(_col(c))
+    plain = F.translate(s, "0123456789+-.eE", "") == F.lit("")
+    word = F.lower(F.ltrim(s, F.lit("+-"))).isin("nan", "inf", "infinity")
+    return F.when(plain | word, _try_cast(F.nullif(s, F.lit("")), "double"))
 
 
 def parse_long(c) -> Column:
@@ -56,8 +62,9 @@ def parse_long(c) -> Column:
 
 
 def parse_date(c) -> Column:
-    """'yyyy-MM-dd' -> date; bad text -> null (rejected later)."""
-    return _try_cast(F.trim(_col(c)), "date")
+    """'yyyy-MM-dd' -> date; anything before or after it, or a part left out -> null (rejected later)."""
+    s = F.trim(_col(c))
+    return F.when(s.rlike(DATE_PATTERN), _try_cast(s, "date"))
 
 
 def flag(c) -> Column:

@@ -1,8 +1,10 @@
 """Command-line jobs, one per analytic job of the original pipeline.
 
-Run with ``spark-submit skyroute/jobs.py <job> ...`` or ``python -m skyroute.jobs``.
-The cluster's own session settings are used; ``--master`` is only for
-local runs. Every job is a thin argument layer over the library.
+Run with ``spark-submit run_job.py <job> ...`` (from any folder; the package is
+sent to the executors) or, installed, ``skyroute-job`` / ``python -m skyroute``.
+The cluster's own session settings are used, completed by those of
+``skyroute.session``; ``--master`` is only for local runs. Every job is a thin
+argument layer over the library.
 
   unzip           archives (.zip of .csv) -> gzip text chunks (+ error report)
   load            75-column on-time CSV -> typed Parquet (status=ok|rejected, year)
@@ -26,30 +28,24 @@ from skyroute.operators.aggregate import tokens
 from skyroute.operators.flights import accepted, parse_flights
 from skyroute.plans import questions as q
 from skyroute.sources import csv as csvsrc
-from skyroute.sources.ingest import archive_errors, archive_lines, write_text_chunks
+from skyroute.session import cluster_session, get_spark, scratch_path
+from skyroute.sources.ingest import ARCHIVE_LINE_SCHEMA, archive_errors, archive_lines, write_text_chunks
 from skyroute.sources.messages import (
     DEFAULT_CHUNK, flights_from_lines, lines_from_messages, to_messages, with_positions,
     write_messages_kafka,
 )
 from skyroute.sources.tables import lookup, publish
 from skyroute.streaming import running as R
+from skyroute.streaming.questions import STREAMED, stream_question
 from skyroute.streaming.sources import stream_source
 
 
 def _session(args) -> SparkSession:
-    b = SparkSession.builder.appName(f"skyroute-{args.job}")
-    if args.master:
-        from skyroute.session import get_spark
-        return get_spark(master=args.master)
-    spark = b.getOrCreate()
-    from skyroute.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    return spark
+    return get_spark(master=args.master) if args.master else cluster_session(f"skyroute-{args.job}")
 
 
 def _flights(spark, path: str) -> DataFrame:
-    from skyroute.plans.fixture import read_stored_flights
-    return read_stored_flights(spark, path)
+    return csvsrc.read_stored_flights(spark, path)
 
 
 def _names(spark, path: str | None):
@@ -100,14 +96,15 @@ def run_stream(spark, args) -> None:
         src = stream_source(spark, "text", args.path, max_files_per_trigger=args.files_per_trigger)
     elif args.source == "kafka":
         src = stream_source(spark, "kafka", servers=args.servers, topic=args.topic,
-                            group_id=args.group)
+                            group_id=args.group, maxOffsetsPerTrigger=args.offsets_per_trigger)
     else:
         src = stream_source(spark, "socket", host=args.host, port=args.port)
     if args.question == "wordcount":
         words = tokens(src, "value", args.sep)
         query = R.running_counts(words, "word", args.output, args.checkpoint,
                                  trigger=args.trigger, base_root=args.output + "_base",
-                                 compact_every=args.compact_every)
+                                 compact_every=args.compact_every,
+                                 seed=spark.read.parquet(args.seed) if args.seed else None)
     else:
         flights = accepted(parse_flights(flights_from_lines(lines_from_messages(src))))
         if args.question == "two-leg":
@@ -115,34 +112,11 @@ def run_stream(spark, args) -> None:
                                                args.output, args.checkpoint,
                                                trigger=args.trigger)
         else:
-            query = _stream_ranked(spark, flights, args)
+            query = stream_question(args.question, flights, _names(spark, args.lookup), args.output,
+                                    args.checkpoint, args.k, args.trigger)
     R.run(query)
 
 
-def _stream_ranked(spark, flights, args):
-    from pyspark.sql import functions as F
-    from skyroute.operators.lookup import with_names
-    from skyroute.operators.ranking import top_k_by
-    names = _names(spark, args.lookup)
-    spec = {
-        "carriers-by-origin": (["origin", "airline_id"], "dep_delay", ["origin"]),
-        "dests-by-origin": (["origin", "dest"], "dep_delay", ["origin"]),
-        "carriers-by-path": (["origin", "dest", "airline_id"], "arr_delay", ["origin", "dest"]),
-    }[args.question]
-    keys, metric, group = spec
-    done = flights.filter(~F.col("cancelled") & ~F.col("diverted"))
-    agg = R.running_sum_count(done, keys, metric)
-    item = [k for k in keys if k not in group]
-
-    def derive(b):
-        m = b.withColumn("mean", F.col("total") / F.col("n"))
-        top = top_k_by(m, group, ["mean", *item], args.k).drop("total", "n")
-        return with_names(top, names, "airline_id") if names is not None and "airline_id" in keys \
-            else top
-    return R.incremental_ranked(agg, "origin", keys, derive, args.output + "_means",
-                                args.output, args.checkpoint, trigger=args.trigger)
-
-
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="skyroute.jobs")
     p.add_argument("--master", default=None, help="local runs only, e.g. local[8]")
@@ -152,7 +126,6 @@ def main(argv=None) -> None:
     s = sub.add_parser("unzip")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
-    s.add_argument("--max-lines", type=int, default=None)
     s.add_argument("--lines-per-file", type=int, default=1_000_000)
 
     for name in ("load", "load-survey"):
@@ -187,8 +160,7 @@ def main(argv=None) -> None:
     s.add_argument("--line", action="store_true", help="one message per line")
 
     s = sub.add_parser("stream")
-    s.add_argument("question", choices=["carriers-by-origin", "dests-by-origin",
-                                        "carriers-by-path", "two-leg", "wordcount"])
+    s.add_argument("question", choices=[*STREAMED, "two-leg", "wordcount"])
     s.add_argument("--source", choices=["kafka", "socket", "files"], default="kafka")
     s.add_argument("--path", help="folder of message files (source=files)")
     s.add_argument("--servers")
@@ -197,6 +169,7 @@ def main(argv=None) -> None:
     s.add_argument("--host")
     s.add_argument("--port", type=int)
     s.add_argument("--files-per-trigger", type=int, default=1)
+    s.add_argument("--offsets-per-trigger", type=int, default=1_000_000, help="messages per micro-batch")
     s.add_argument("--output", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger", default="30 seconds", help="'available_now' or an interval")
@@ -205,11 +178,15 @@ def main(argv=None) -> None:
     s.add_argument("--year", type=int, default=2008)
     s.add_argument("--sep", default=" ")
     s.add_argument("--compact-every", type=int, default=100)
+    s.add_argument("--seed", help="table of (word, count) that word counts start from")
 
     args = p.parse_args(argv)
     spark = _session(args)
     if args.job == "unzip":
-        lines = archive_lines(spark, args.input, args.max_lines)
+        # written once, so that no archive is read a second time for its errors
+        path = scratch_path(spark, "archive-lines")
+        archive_lines(spark, args.input).write.parquet(path)
+        lines = spark.read.schema(ARCHIVE_LINE_SCHEMA).parquet(path)
         write_text_chunks(lines, args.output, args.lines_per_file)
         archive_errors(lines).write.mode("overwrite").json(args.output + "_errors")
     elif args.job == "load":

@@ -1,40 +1,21 @@
-"""Id -> name lookups joined by broadcast only behind a size check."""
+"""Id -> name lookups."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup above this many rows is joined by shuffle (AQE may still
-# broadcast it after measuring the real size at run time).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def with_names(df: DataFrame, names: DataFrame, key: str, name_key: str = "code",
-               name_col: str = "description", out: str = "name",
-               max_rows: int = MAX_BROADCAST_ROWS, small: bool | None = None) -> DataFrame:
+               name_col: str = "description", out: str = "name") -> DataFrame:
     """Left join of a name onto ``df[key]``; unknown ids get a null name.
 
     The lookup key is cast to the type of ``df[key]`` once on the lookup side
     (text ids in the lookup file, integer ids in the data); a code that does
-    not parse matches nothing.
+    not parse matches nothing. No size is probed while the plan is built:
+    adaptive execution broadcasts the lookup if its measured size allows it
+    and shuffles both sides otherwise.
     """
     key_type = df.schema[key].dataType
     lk = (names.select(F.col(name_key).try_cast(key_type).alias("_lk"), F.col(name_col).alias(out))
                .groupBy("_lk").agg(F.max(out).alias(out)))
-    # ``small``: a size check already made for this lookup (e.g. once per
-    # stream rather than once per micro-batch); None probes now
-    if small is None:
-        small = fits_broadcast(lk, max_rows)
-    lk = F.broadcast(lk) if small else lk
     return df.join(lk, df[key] == lk["_lk"], "left").drop("_lk")

@@ -72,7 +72,8 @@ def rank_with_ties(df: DataFrame, value: str, rank: str = "rank",
          partitioned by bucket);
       5. join the rank of each value back to the rows.
     ``value`` is any number (counts, means); nulls rank last. The bucket
-    table has about 2 x 64 x ``buckets_per_octave`` rows at most.
+    table has about 2 x 64 x ``buckets_per_octave`` rows at most for 64-bit
+    counts and 2 x 1024 x ``buckets_per_octave`` for doubles.
     """
     sign = -1.0 if descending else 1.0
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_h"))
@@ -82,7 +83,6 @@ def rank_with_ties(df: DataFrame, value: str, rank: str = "rank",
     bucket = F.floor(F.lit(sign) * logv * F.lit(float(buckets_per_octave))).cast("long")
     hist = hist.withColumn("_b", F.coalesce(bucket, F.lit(2**62)))
     totals = hist.groupBy("_b").agg(F.sum("_h").alias("_bt"))
-    # bucket table: at most ~64 octaves x buckets_per_octave rows for 64-bit counts
     totals = totals.withColumn(
         "_off", F.coalesce(F.sum("_bt").over(
             Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -92,5 +92,5 @@ def rank_with_ties(df: DataFrame, value: str, rank: str = "rank",
              .rowsBetween(Window.unboundedPreceding, -1))
     ranks = hist.select(
         F.col(value).alias("_v"),
-        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_h").over(inner), F.lit(0))).cast("int").alias(rank))
+        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_h").over(inner), F.lit(0))).cast("long").alias(rank))
     return df.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")

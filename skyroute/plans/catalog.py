@@ -153,7 +153,7 @@ def airport_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("popularity_rank", FLIGHTS_CTE + """
-select airport, count, cast(rank() over (order by count desc) as integer) as rank from pop""")
+select airport, count, cast(rank() over (order by count desc) as bigint) as rank from pop""")
 def popularity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.popularity_rank(fx.flights(spark, sf_dir))
 
@@ -321,5 +321,5 @@ def wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wordcount(fx.table(spark, sf_dir, "documents"), "text", " ")
 
 
-# streaming, message and lookup queries register themselves on import
-from skyroute.plans import stream_catalog  # noqa: E402,F401
+# streaming, message, lookup and source queries register themselves on import
+from skyroute.plans import source_catalog, stream_catalog  # noqa: E402,F401

@@ -15,28 +15,11 @@ import os
 
 from skyroute.operators.flights import REJECT, accepted, parse_flights
 from skyroute.session import scratch_path
+from skyroute.sources.csv import read_stored_flights
 
 
-# fact tables: the ones whose scan feeds the heavy work; dimensions stay as read
-FACT_TABLES = ("lineitem", "documents")
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, fact: bool | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(spark, df) if (name in FACT_TABLES if fact is None else fact) else df
-
-
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin a table whose scan has fewer splits than the cluster has cores.
-
-    A single-file table (one row group) is read by one task, and everything
-    fused after the scan (joins, parsing) runs in that task. When the scan
-    already has at least as many splits as cores, nothing changes (no
-    shuffle). The split count is planned on the JVM side; no file list is
-    brought to the driver.
-    """
-    par = spark.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _hhmm(minutes: Column) -> Column:
@@ -101,12 +84,6 @@ def ingest_flights(spark: SparkSession, sf_dir: str, path: str) -> None:
         .write.mode("overwrite").partitionBy("status", "year").parquet(path))
 
 
-def read_stored_flights(spark: SparkSession, path: str) -> DataFrame:
-    """Accepted flights of an ingested table (prunes to the ``status=ok`` folders)."""
-    return (spark.read.parquet(path).filter(F.col("status") == F.lit("ok"))
-                 .drop("status", REJECT))
-
-
 _STORED: dict = {}
 
 
@@ -142,7 +119,7 @@ def raw_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     origin = the customer's nation, dest = nation (orderkey mod 25); some keys
     are null, empty or a bare quote pair so the clean-up has work to do.
     """
-    orders = table(spark, sf_dir, "orders", fact=True).select("o_orderkey", "o_custkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     n1 = nation.select(F.col("n_nationkey").alias("_n1"), F.col("n_name").alias("_o"),

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyroute.functions.timefmt import in_year, weekday_name
+from skyroute.functions.timefmt import weekday_name
 from skyroute.operators.aggregate import mean_by, popularity
 from skyroute.operators.flights import completed_with, drop_empty_keys, trip_ready
 from skyroute.operators.lookup import with_names
@@ -113,7 +113,3 @@ def survey_clean(survey: DataFrame) -> DataFrame:
 def survey_top(survey: DataFrame, k: int = 10) -> DataFrame:
     return top_k(popularity(survey_clean(survey), ("origin", "dest"), "airport", "count"),
                  [("count", "desc"), "airport"], k)
-
-
-def flights_in_year(flights: DataFrame, year: int) -> DataFrame:
-    return flights.filter(in_year("flight_date", year))

@@ -18,7 +18,7 @@ from skyroute.sources.messages import (
     DEFAULT_CHUNK, as_kept_layout, flights_from_lines, lines_from_messages, to_csv_lines,
     to_messages, with_positions,
 )
-from skyroute.streaming.sources import split_to_batches, stream_source
+from skyroute.streaming.sources import batch_streams, split_to_batches
 
 N_BATCHES = 5
 
@@ -36,26 +36,24 @@ def _published(spark: SparkSession, key: tuple, publish) -> str:
     return _PUBLISHED[k]
 
 
-def flight_line_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
-                       lines_per_message: int = DEFAULT_CHUNK) -> DataFrame:
+def flight_line_streams(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
+                        lines_per_message: int = DEFAULT_CHUNK) -> list[DataFrame]:
     """Raw flights rendered as CSV lines, packed into chunked messages (as a
-    producer publishes them) and written in ``n`` batches; read back as a
-    stream of typed flights: message -> lines -> CSV fields -> parser."""
+    producer publishes them) and written in ``n`` batches; read back as
+    streams of typed flights: message -> lines -> CSV fields -> parser."""
     def publish(path: str) -> None:
         lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)), "line")
         msgs = to_messages(with_positions(lines), lines_per_message).select("value")
-        split_to_batches(msgs, path, n, F.pmod(F.crc32(F.col("value")), F.lit(n)))
+        split_to_batches(msgs, path, F.pmod(F.crc32(F.col("value")), F.lit(n)))
     path = _published(spark, ("flights", sf_dir, n, lines_per_message), publish)
-    s = stream_source(spark, "files", path, schema="value string, batch int",
-                      max_files_per_trigger=1)
-    return accepted(parse_flights(flights_from_lines(lines_from_messages(s))))
+    return [accepted(parse_flights(flights_from_lines(lines_from_messages(s))))
+            for s in batch_streams(spark, path, n, "value string, batch int")]
 
 
-def document_stream(spark: SparkSession, sf_dir: str, n: int = N_BATCHES) -> DataFrame:
-    """``documents`` in ``n`` batches (doc_id mod n), one file per batch."""
+def document_streams(spark: SparkSession, sf_dir: str, n: int = N_BATCHES) -> list[DataFrame]:
+    """``documents`` in ``n`` batches (doc_id mod n)."""
     def publish(path: str) -> None:
         docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-        split_to_batches(docs, path, n, F.pmod(F.col("doc_id"), F.lit(n)))
+        split_to_batches(docs, path, F.pmod(F.col("doc_id"), F.lit(n)))
     path = _published(spark, ("documents", sf_dir, n), publish)
-    return stream_source(spark, "files", path, schema="doc_id long, text string, batch int",
-                         max_files_per_trigger=1)
+    return batch_streams(spark, path, n, "doc_id long, text string, batch int")

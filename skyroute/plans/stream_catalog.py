@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.operators.aggregate import popularity, tokens
+from skyroute.operators.aggregate import tokens
 from skyroute.operators.flights import accepted, parse_flights
-from skyroute.operators.lookup import fits_broadcast, with_names
-from skyroute.operators.ranking import top_k, top_k_by
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q
 from skyroute.plans.catalog import (
     FLIGHTS_CTE, TOP_CARRIERS_BY_ORIGIN_SQL, TOP_CARRIERS_BY_PATH_SQL, TOP_DESTS_BY_ORIGIN_SQL,
     TRIP_YEAR, TWO_LEG_BEST_SQL, ORACLE_SQL, register,
 )
-from skyroute.plans.replay import N_BATCHES, document_stream, flight_line_stream
+from skyroute.plans.replay import N_BATCHES, document_streams, flight_line_streams
 from skyroute.session import scratch_path
 from skyroute.sources.messages import (
     as_kept_layout, flights_from_lines, lines_from_messages, to_csv_lines, to_messages,
@@ -23,7 +21,8 @@ from skyroute.sources.messages import (
 )
 from skyroute.sources.tables import lookup, publish
 from skyroute.streaming import running as R
-from skyroute.streaming.partials import merge_partials, stage_partials
+from skyroute.streaming.partials import merge_partials, merge_partials_stream, stage_partials
+from skyroute.streaming.questions import read_answer, stream_question
 from skyroute.streaming.two_leg import stream_two_leg_incremental as _stream_two_leg
 
 SEED = (("hello", 1), ("world", 1))  # fixed value: the initial word counts
@@ -45,10 +44,9 @@ select batch, word, count(*) as count from (
 group by batch, word""")
 def stream_wordcount_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "wc-batch")
-    s = document_stream(spark, sf_dir)
     fn = lambda b: (b.select("batch", F.explode(F.split("text", " ", -1)).alias("word"))
                      .groupBy("batch", "word").agg(F.count(F.lit(1)).alias("count")))
-    R.run(R.per_batch(s, fn, out, ck))
+    R.drain(document_streams(spark, sf_dir), lambda s: R.per_batch(s, fn, out, ck))
     return spark.read.parquet(out).select(F.col("batch").cast("bigint").alias("batch"),
                                           "word", "count")
 
@@ -57,8 +55,8 @@ def stream_wordcount_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_wordcount_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "wc-running")
     base = scratch_path(spark, "wc-running-base")
-    R.run(R.running_counts(tokens(document_stream(spark, sf_dir), "text"), "word", out, ck,
-                           base_root=base, compact_every=2))
+    R.drain(document_streams(spark, sf_dir), lambda s: R.running_counts(
+        tokens(s, "text"), "word", out, ck, base_root=base, compact_every=2))
     return R.current(spark, out, "word", base_root=base).select("word", "count")
 
 
@@ -70,100 +68,44 @@ select coalesce(c.word, seed.word) as word,
 from c full outer join seed on c.word = seed.word""")
 def stream_wordcount_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "wc-seeded")
-    R.run(R.running_counts(tokens(document_stream(spark, sf_dir), "text"), "word", out, ck))
     seed = spark.createDataFrame(list(SEED), "word string, count long")
-    return R.seeded(R.current(spark, out, "word"), seed, "word")
+    R.drain(document_streams(spark, sf_dir),
+            lambda s: R.running_counts(tokens(s, "text"), "word", out, ck, seed=seed))
+    return R.current(spark, out, "word")
 
 
-# -- running popularity / means with ranked snapshots -----------------------
+# -- running popularity / means with ranked tables ---------------------------
+
+def _streamed(spark, sf_dir, question, named=True):
+    out, ck = _dirs(spark, question)
+    names = fx.airline_names(spark, sf_dir) if named else None
+    R.drain(flight_line_streams(spark, sf_dir), lambda s: stream_question(question, s, names, out, ck))
+    return read_answer(spark, question, out)
+
 
 @register("stream_top_airports", ORACLE_SQL["top_airports"])
 def stream_top_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, ck = _dirs(spark, "top-airports")
-    flights = flight_line_stream(spark, sf_dir)
-    agg = popularity(flights, ("origin", "dest"), "airport", "count")
-    derive = lambda b: top_k(b, [("count", "desc"), "airport"], 10)
-    R.run(R.snapshot(agg, derive, out, ck))
-    return R.read_snapshot(spark, out)
-
-
-def _mean_snapshot(spark, sf_dir, name, keys, metric, derive, partition_cols=()):
-    """Running (sum, count) per key; ranked table rebuilt from the full
-    aggregate each micro-batch (global rankings: one row per key of a
-    bounded domain)."""
-    out, ck = _dirs(spark, name)
-    agg = R.running_sum_count(_completed_stream(spark, sf_dir, keys), keys, metric)
-    R.run(R.snapshot(agg, derive, out, ck, partition_cols))
-    return R.read_snapshot(spark, out)
-
-
-def _mean_incremental(spark, sf_dir, name, keys, metric, derive, part_col="origin"):
-    """Running (sum, count) per key; per-origin rankings updated for the
-    origins each micro-batch touches."""
-    out, ck = _dirs(spark, name)
-    state = scratch_path(spark, name + "-means")
-    agg = R.running_sum_count(_completed_stream(spark, sf_dir, keys), keys, metric)
-    R.run(R.incremental_ranked(agg, part_col, keys, derive, state, out, ck))
-    return spark.read.parquet(out)
-
-
-def _completed_stream(spark, sf_dir, keys):
-    flights = flight_line_stream(spark, sf_dir)
-    done = ~F.col("cancelled") & ~F.col("diverted")
-    if "airline_id" in keys:
-        done = done & F.col("airline_id").isNotNull()
-    return flights.filter(done)
+    return _streamed(spark, sf_dir, "top-airports", named=False)
 
 
 @register("stream_top_airlines", ORACLE_SQL["top_airlines"])
 def stream_top_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = fx.airline_names(spark, sf_dir)
-    small = fits_broadcast(names)  # checked once per stream
-
-    def derive(b):
-        means = b.select("airline_id", (F.col("total") / F.col("n")).alias("mean_arr_delay"))
-        return with_names(top_k(means, ["mean_arr_delay", "airline_id"], 10), names, "airline_id",
-                          small=small)
-    return _mean_snapshot(spark, sf_dir, "top-airlines", ["airline_id"], "arr_delay", derive)
+    return _streamed(spark, sf_dir, "top-airlines")
 
 
 @register("stream_mean_carrier", TOP_CARRIERS_BY_ORIGIN_SQL)
 def stream_mean_carrier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = fx.airline_names(spark, sf_dir)
-    small = fits_broadcast(names)  # checked once per stream
-
-    def derive(b):
-        means = b.select("origin", F.col("airline_id").alias("airlineid"),
-                         (F.col("total") / F.col("n")).alias("depdelay"))
-        top = top_k_by(means, "origin", ["depdelay", "airlineid"], 10)
-        return with_names(top, names, "airlineid", out="airline", small=small)
-    return _mean_incremental(spark, sf_dir, "carriers-by-origin", ["origin", "airline_id"],
-                          "dep_delay", derive)
+    return _streamed(spark, sf_dir, "carriers-by-origin")
 
 
 @register("stream_top_dests", TOP_DESTS_BY_ORIGIN_SQL)
 def stream_top_dests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def derive(b):
-        means = b.select("origin", F.col("dest").alias("destination"),
-                         (F.col("total") / F.col("n")).alias("depdelay"))
-        return top_k_by(means, "origin", ["depdelay", "destination"], 10)
-    return _mean_incremental(spark, sf_dir, "dests-by-origin", ["origin", "dest"], "dep_delay",
-                          derive)
+    return _streamed(spark, sf_dir, "dests-by-origin", named=False)
 
 
 @register("stream_carriers_by_path", TOP_CARRIERS_BY_PATH_SQL)
 def stream_carriers_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = fx.airline_names(spark, sf_dir)
-    small = fits_broadcast(names)  # checked once per stream
-
-    def derive(b):
-        means = b.select("origin", F.col("dest").alias("destination"),
-                         F.col("airline_id").alias("airlineid"),
-                         (F.col("total") / F.col("n")).alias("arrdelay"))
-        top = top_k_by(means, ["origin", "destination"], ["arrdelay", "airlineid"], 10)
-        return with_names(top, names, "airlineid", out="airline", small=small)
-    return _mean_incremental(spark, sf_dir, "carriers-by-path", ["origin", "dest", "airline_id"],
-                          "arr_delay", derive)
+    return _streamed(spark, sf_dir, "carriers-by-path")
 
 
 # -- staged partials ---------------------------------------------------------
@@ -171,18 +113,30 @@ def stream_carriers_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stage_partials", ORACLE_SQL["mean_delay_by_airline"])
 def stage_partials_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "partials")
-    flights = flight_line_stream(spark, sf_dir)
-    done = flights.filter(~F.col("cancelled") & ~F.col("diverted") & F.col("airline_id").isNotNull())
-    R.run(stage_partials(done, ["airline_id"], "arr_delay", out, ck))
+    done = ~F.col("cancelled") & ~F.col("diverted") & F.col("airline_id").isNotNull()
+    R.drain(flight_line_streams(spark, sf_dir),
+            lambda s: stage_partials(s.filter(done), ["airline_id"], "arr_delay", out, ck))
     return merge_partials(spark, out, ["airline_id"], "mean_arr_delay")
 
 
+@register("stage_partials_stream", ORACLE_SQL["mean_delay_by_airline"])
+def stage_partials_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stages as streams: after every input batch the second takes what the first stored."""
+    out, ck = _dirs(spark, "partials-2")
+    final, ck2 = _dirs(spark, "merged-2")
+    done = ~F.col("cancelled") & ~F.col("diverted") & F.col("airline_id").isNotNull()
+    for s in flight_line_streams(spark, sf_dir):
+        R.run(stage_partials(s.filter(done), ["airline_id"], "arr_delay", out, ck))
+        R.run(merge_partials_stream(spark, out, ["airline_id"], "mean_arr_delay", final, ck2))
+    return R.read_snapshot(spark, final)
+
+
 @register("stage_partials_popularity", FLIGHTS_CTE + "select airport, count from pop")
 def stage_partials_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "partials-pop")
-    flights = flight_line_stream(spark, sf_dir)
-    airports = flights.select(F.explode(F.array("origin", "dest")).alias("airport"))
-    R.run(stage_partials(airports, ["airport"], None, out, ck))
+    airport = F.explode(F.array("origin", "dest")).alias("airport")
+    R.drain(flight_line_streams(spark, sf_dir),
+            lambda s: stage_partials(s.select(airport), ["airport"], None, out, ck))
     return merge_partials(spark, out, ["airport"], "count", metric=False)
 
 
@@ -192,7 +146,7 @@ def stage_partials_popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_two_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "two-leg")
     legs = scratch_path(spark, "two-leg-legs")
-    R.run(_stream_two_leg(flight_line_stream(spark, sf_dir), TRIP_YEAR, legs, out, ck))
+    R.drain(flight_line_streams(spark, sf_dir), lambda s: _stream_two_leg(s, TRIP_YEAR, legs, out, ck))
     return spark.read.parquet(out).drop("start_month")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -23,35 +25,65 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # checkpoint files go when nothing refers to them any more (one merge per micro-batch)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
               app: str = "skyroute", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every job here assumes."""
-    b = SparkSession.builder.master(master).appName(app)
-    conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
-        b = b.config(k, v)
-    spark = b.getOrCreate()
+    conf = {"spark.sql.shuffle.partitions": str(shuffle_partitions), **(extra or {})}
+    return _built(SparkSession.builder.master(master).appName(app), conf)
+
+
+def cluster_session(app: str) -> SparkSession:
+    """The session that ``spark-submit`` configures, with the settings every job here assumes.
+
+    The package is sent to the executors, so nothing has to be installed there.
+    """
+    spark = _built(SparkSession.builder.appName(app), {})
+    if not is_local(spark.sparkContext.master):
+        ship_package(spark)
+    return spark
+
+
+def _built(builder: SparkSession.Builder, conf: dict) -> SparkSession:
+    for k, v in {**DEFAULT_CONF, **conf}.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to all executors as a zip file."""
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as d:
+        archive = shutil.make_archive(f"{d}/{package.name}", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+
+
+def is_local(master: str) -> bool:
+    """One JVM: driver and executors share their folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) do we create one of our own.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session
+    without that setting gets one of our own; on a cluster a folder of one
+    machine would be lost to the others, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not is_local(sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="skyroute-ckpt-"))
     return sc.getCheckpointDir()
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.operators.flights import drop_empty_keys, drop_header_lines, parse_flights
+from skyroute.operators.flights import REJECT, drop_empty_keys, drop_header_lines, parse_flights
 from skyroute.schemas import (
     KEPT_RAW, LOOKUP_SCHEMA, ONTIME_KEPT_SCHEMA, ONTIME_RAW_SCHEMA, SURVEY_KEPT_RAW,
     SURVEY_KEPT_SCHEMA, SURVEY_RAW_SCHEMA,
@@ -116,3 +116,9 @@ def export_table(df: DataFrame, columns, path: str) -> None:
 
 def import_table(spark: SparkSession, schema, path: str) -> DataFrame:
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("header", "true").csv(path)
+
+
+def read_stored_flights(spark: SparkSession, path: str) -> DataFrame:
+    """Accepted flights of an ingested table (prunes to the ``status=ok`` folders)."""
+    return (spark.read.parquet(path).filter(F.col("status") == F.lit("ok"))
+                 .drop("status", REJECT))

@@ -2,10 +2,13 @@
 
 * ``list_input_files``: recursive listing as a DataFrame (path, length);
   Spark's file index already hides ``_*`` / ``.*`` entries (``_SUCCESS``,
-  ``_temporary``); empty files are dropped here.
-* ``archive_lines``: every ``.csv`` member of every ``.zip`` under a root as
-  lines, ``.html`` ignored, other file types refused; a corrupt archive gives
-  one row with an ``error`` instead of failing the job.
+  ``_temporary``); a producer's listing leaves out empty files.
+* ``archive_lines``: every ``.csv`` member of every ``.zip`` (in any case)
+  under a root as lines, ``.html`` ignored, other file types refused. Every
+  archive's members are read through once before a line is emitted, so a
+  corrupt archive (also an empty one) gives one row with an ``error`` and no
+  lines. Storage errors are not corruption: they fail the task, which Spark
+  retries.
 * ``write_text_chunks``: gzip text files of at most N lines each.
 * ``first_file_per_directory`` / ``first_file_per_listing_group``: one file
   per directory, from a file source or from a listing's line order.
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,17 +41,34 @@ ARCHIVE_LINE_SCHEMA = "archive string, member string, line_no long, line string,
 _OUT_BATCH = 10_000
 
 
-def list_input_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, length, modification_time) of every non-empty file below ``root``.
+# What a damaged archive raises while its members are read.
+CORRUPT = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError)
+
+
+def list_input_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modification_time) of every non-empty file below ``root``
+    (Spark's file sources never show empty ones).
 
     Selecting no ``content`` column means the files are listed, not read.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     return r.load(root).select("path", "length", "modificationTime").filter(F.col("length") > 0)
 
 
+def empty_archives(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the empty archives below ``root``, from the file system's listing;
+    only they, which are faults, reach Python's list."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        name = f.getPath().getName()
+        if f.getLen() == 0 and name.lower().endswith(ARCHIVE_EXTENSIONS) and name[0] not in "._":
+            out.append(f.getPath().toString())
+    return out
+
+
 def _ext(path_col) -> F.Column:
     return F.lower(F.regexp_extract(path_col, r"(\.[^./]*)$", 1))
 
@@ -70,49 +91,56 @@ def _open_input(path: str):
     return filesystem.open_input_file(inner)
 
 
-def _unzip_batches(max_lines: int | None):
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buf: list[tuple] = []
-        for pdf in batches:
-            for path in pdf["path"]:
-                try:
-                    with _open_input(path) as handle, zipfile.ZipFile(handle) as zf:
-                        for info in zf.infolist():
-                            if info.is_dir() or not info.filename.lower().endswith(MEMBER_EXTENSION):
-                                continue
-                            with zf.open(info) as raw:
-                                text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace",
-                                                        newline="")
-                                for i, line in enumerate(text):
-                                    if max_lines is not None and i >= max_lines:
-                                        break
-                                    buf.append((path, info.filename, i,
-                                                line.rstrip("\r\n"), None))
-                                    if len(buf) >= _OUT_BATCH:
-                                        yield pd.DataFrame(buf, columns=_COLS)
-                                        buf = []
-                except (zipfile.BadZipFile, EOFError, OSError) as e:
-                    buf.append((path, None, None, None, f"{type(e).__name__}: {e}"))
-        if buf:
-            yield pd.DataFrame(buf, columns=_COLS)
-    return fn
+def _fault(path: str) -> str | None:
+    """What is wrong with an archive, read through once (members' checksums included)."""
+    try:
+        with _open_input(path) as handle, zipfile.ZipFile(handle) as zf:
+            bad = zf.testzip()
+            return f"BadZipFile: wrong checksum in {bad}" if bad else None
+    except CORRUPT as e:
+        return f"{type(e).__name__}: {e}"
+
+
+def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    buf: list[tuple] = []
+    for pdf in batches:
+        for path in pdf["path"]:
+            if fault := _fault(path):
+                buf.append((path, None, None, None, fault))
+                continue
+            with _open_input(path) as handle, zipfile.ZipFile(handle) as zf:
+                for info in zf.infolist():
+                    if info.is_dir() or not info.filename.lower().endswith(MEMBER_EXTENSION):
+                        continue
+                    with zf.open(info) as raw:
+                        text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
+                        for i, line in enumerate(text):
+                            buf.append((path, info.filename, i, line.rstrip("\r\n"), None))
+                            if len(buf) >= _OUT_BATCH:
+                                yield pd.DataFrame(buf, columns=_COLS)
+                                buf = []
+    if buf:
+        yield pd.DataFrame(buf, columns=_COLS)
 
 
 _COLS = ["archive", "member", "line_no", "line", "error"]
 
 
-def archive_lines(spark: SparkSession, root: str, max_lines: int | None = None,
-                  check_types: bool = True) -> DataFrame:
+def archive_lines(spark: SparkSession, root: str, check_types: bool = True) -> DataFrame:
     """Lines of the ``.csv`` members of all ``.zip`` archives below ``root``.
 
     The listing (paths and sizes only; contents are not read) is split into
     tasks by file size, and every task opens and unzips its own archives.
-    ``max_lines`` optionally caps the lines taken from each member.
     """
+    files = list_input_files(spark, root)
     if check_types:
-        check_archive_types(list_input_files(spark, root))
-    zips = list_input_files(spark, root, glob="*.zip").select("path")
-    return zips.mapInPandas(_unzip_batches(max_lines), ARCHIVE_LINE_SCHEMA)
+        check_archive_types(files)
+    zips = files.filter(_ext(F.col("path")).isin(*ARCHIVE_EXTENSIONS)).select("path")
+    lines = zips.mapInPandas(_unzip_batches, ARCHIVE_LINE_SCHEMA)
+    if empty := empty_archives(spark, root):
+        faults = [(p, None, None, None, "BadZipFile: the file is empty") for p in empty]
+        lines = lines.unionByName(spark.createDataFrame(faults, ARCHIVE_LINE_SCHEMA))
+    return lines
 
 
 def write_text_chunks(lines: DataFrame, out: str, lines_per_file: int = LINES_PER_CHUNK,

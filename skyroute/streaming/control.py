@@ -2,41 +2,51 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from skyroute.streaming.running import trigger_kw
 
+_STOPPED = "stopped after the marker batch"
+
 
 def run_until_marker(stream: DataFrame, is_marker: Column,
                      sink: Callable[[DataFrame, int], None], checkpoint: str,
                      trigger: str | None = "available_now") -> StreamingQuery:
     """Process micro-batches with ``sink``; the batch holding a row matching
-    ``is_marker`` is processed in full, then the query stops and later
-    batches are not taken.
+    ``is_marker`` is processed in full and committed, then the query stops.
+    A later batch that begins meanwhile is refused by an error, so Spark does
+    not commit it and a restart takes it up again.
 
     The marker check is a ``limit(1)`` probe on the micro-batch (reads at most
     one matching row), not a collect of the batch.
     """
-    done = threading.Event()
+    marked: list[int] = []
 
     def fb(b: DataFrame, i: int) -> None:
-        if done.is_set():
-            return
+        if marked:
+            raise RuntimeError(_STOPPED)
         sink(b, i)
         if b.filter(is_marker).limit(1).count() > 0:
-            done.set()
+            marked.append(i)
 
     q = (stream.writeStream.foreachBatch(fb).option("checkpointLocation", checkpoint)
                .trigger(**trigger_kw(trigger)).start())
     try:
-        while q.isActive and not done.is_set():
-            q.awaitTermination(0.2)
-        if q.exception():
-            raise q.exception()
+        while q.isActive:
+            # progress of a batch is reported after its commit
+            if marked and q.lastProgress and q.lastProgress["batchId"] >= marked[0]:
+                break
+            try:
+                q.awaitTermination(0.2)
+            except StreamingQueryException as e:
+                if not marked or _STOPPED not in str(e):
+                    raise
+        if (error := q.exception()) and not (marked and _STOPPED in str(error)):
+            raise error
     finally:
         q.stop()
     return q

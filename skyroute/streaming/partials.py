@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyroute.operators.aggregate import merge_means, sum_count_by
-from skyroute.streaming.running import per_batch
+from skyroute.streaming.running import per_batch, snapshot
 
 
 def stage_partials(stream: DataFrame, keys: Sequence[str] | str, metric: str | None,
@@ -38,3 +38,21 @@ def merge_partials(spark: SparkSession, path: str, keys: Sequence[str] | str,
         return merge_means(parts, keys, name)
     keys = [keys] if isinstance(keys, str) else list(keys)
     return parts.groupBy(*keys).agg(F.sum("n").alias(name))
+
+
+def merge_partials_stream(spark: SparkSession, path: str, keys: Sequence[str] | str, name: str, out_path: str,
+                          checkpoint: str, metric: bool = True,
+                          trigger: str | None = "available_now") -> StreamingQuery:
+    """Stage 2 as a stream: running (total, n) over the partials that stage 1 stores,
+    published as versions of the mean (or count) per key.
+
+    Stage 1 must have stored a batch; its schema is that of the stored files.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    parts = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    if not metric:
+        return snapshot(parts.groupBy(*keys).agg(F.sum("n").alias(name)), lambda b: b, out_path, checkpoint,
+                        trigger=trigger)
+    sums = parts.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return snapshot(sums, lambda b: b.select(*keys, (F.col("total") / F.col("n")).alias(name)), out_path, checkpoint,
+                    trigger=trigger)

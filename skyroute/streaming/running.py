@@ -17,12 +17,15 @@ Two sink shapes:
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skyroute.sources.versions import current_version, point_to, remove
+
 BATCH = "batch_id"
 
 
@@ -39,27 +42,13 @@ def trigger_kw(trigger: str | None) -> dict:
     return {"processingTime": trigger}
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = (),
-                single_file: bool = False) -> None:
-    """Idempotent per-batch write: replaces only this batch's folder.
-
-    ``single_file`` writes one file per batch (one task): only for small
-    per-batch results such as a top-k.
-    """
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
+    """Idempotent per-batch write: replaces only this batch's folder."""
     out = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
-    if single_file:
-        out = out.coalesce(1)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH, *partition_cols).parquet(path))
 
 
-def to_console(df: DataFrame, mode: str = "update", rows: int = 20,
-               trigger: str | None = "available_now") -> StreamingQuery:
-    """Print each micro-batch's result (the streaming form of showing a result)."""
-    return (df.writeStream.outputMode(mode).format("console").option("numRows", rows)
-              .option("truncate", "false").trigger(**trigger_kw(trigger)).start())
-
-
 def newest_per_key(log: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     """Rows of the newest ``batch_id`` of every key (partial max per key, then
     a semi-join: no key is gathered whole)."""
@@ -69,61 +58,39 @@ def newest_per_key(log: DataFrame, keys: Sequence[str] | str) -> DataFrame:
     return log.join(newest, cond, "left_semi")
 
 
-def latest_base(spark: SparkSession, base_root: str | None) -> int | None:
-    """Batch id of the newest compacted base under ``base_root`` (None if none)."""
-    if not base_root:
-        return None
-    try:
-        row = spark.read.parquet(base_root).agg(F.max("upto")).first()
-    except Exception as e:  # noqa: BLE001 - no base written yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) \
-                or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    return None if row is None else row[0]
+def _base(spark: SparkSession, base_root: str, upto: int) -> DataFrame:
+    return spark.read.parquet(f"{base_root}/upto={upto}").withColumn(BATCH, F.lit(upto).cast("long"))
 
 
 def current(spark: SparkSession, path: str, keys: Sequence[str] | str,
             base_root: str | None = None) -> DataFrame:
     """Newest version of every key in a changelog table.
 
-    With compaction (``base_root``), only the newest base and the log
-    partitions after it are read (a static filter on ``batch_id``), so the
-    read does not grow with the number of batches.
+    With compaction (``base_root``), only the base that the pointer names and
+    the log partitions after it are read (a static filter on ``batch_id``).
     """
     log = spark.read.parquet(path)
-    upto = latest_base(spark, base_root)
+    upto = current_version(spark, base_root)
     if upto is not None:
-        base = (spark.read.parquet(base_root).filter(F.col("upto") == F.lit(upto))
-                     .drop("upto").withColumn(BATCH, F.lit(upto).cast("long")))
-        log = base.unionByName(log.filter(F.col(BATCH) > F.lit(upto)))
+        log = _base(spark, base_root, upto).unionByName(log.filter(F.col(BATCH) > F.lit(upto)))
     return newest_per_key(log, keys).drop(BATCH)
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str] | str, base_root: str,
             upto: int) -> None:
-    """Write the newest row per key as of batch ``upto`` to ``base_root/upto=<id>``.
+    """Write the newest row per key as of batch ``upto`` to ``base_root/upto=<id>``, then point to it.
 
-    A new folder every time (never one that readers use); rewriting the same
-    ``upto`` after a failure is idempotent. Starts from the previous base.
+    Rewriting the same ``upto`` after a failure is idempotent: it starts from an
+    older base.
     """
     log = spark.read.parquet(path).filter(F.col(BATCH) <= F.lit(upto))
-    prev = latest_base(spark, base_root)
-    if prev is not None and prev < upto:
-        base = (spark.read.parquet(base_root).filter(F.col("upto") == F.lit(prev))
-                     .drop("upto").withColumn(BATCH, F.lit(prev).cast("long")))
-        log = base.unionByName(log.filter(F.col(BATCH) > F.lit(prev)))
-    (newest_per_key(log, keys).drop(BATCH)
-        .write.mode("overwrite").parquet(f"{base_root.rstrip('/')}/upto={upto}"))
-
-
-def current_groups(spark: SparkSession, path: str, group: Sequence[str] | str) -> DataFrame:
-    """Rows of the newest version of every group in a changelog table."""
-    group = _keys(group)
-    log = spark.read.parquet(path)
-    w = Window.partitionBy(*group)
-    return (log.withColumn("_newest", F.max(BATCH).over(w))
-               .filter(F.col(BATCH) == F.col("_newest")).drop("_newest", BATCH))
+    prev = current_version(spark, base_root)
+    if prev is not None and prev >= upto:
+        return
+    if prev is not None:
+        log = _base(spark, base_root, prev).unionByName(log.filter(F.col(BATCH) > F.lit(prev)))
+    newest_per_key(log, keys).drop(BATCH).write.mode("overwrite").parquet(f"{base_root}/upto={upto}")
+    point_to(spark, base_root, upto)
 
 
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
@@ -143,37 +110,55 @@ def run(query: StreamingQuery, timeout: float | None = None) -> None:
         if query.exception():
             raise query.exception()
     finally:
-        if query.isActive:
-            query.stop()
+        stop_gracefully(query)
+
+
+def drain(streams: Sequence[DataFrame], build: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Run ``build`` (one output, one checkpoint) over each input batch in turn."""
+    for s in streams:
+        run(build(s))
+
+
+def stop_gracefully(query: StreamingQuery) -> None:
+    """Stop after the micro-batch in flight is done and committed."""
+    last = (query.lastProgress or {}).get("batchId")
+    while query.isActive and query.status["isTriggerActive"] \
+            and (query.lastProgress or {}).get("batchId") == last:
+        time.sleep(0.1)
+    if query.isActive:
+        query.stop()
 
 
 # -- running counts (word count, popularity) --------------------------------
 
 def running_counts(stream: DataFrame, keys: Sequence[str] | str, out_path: str, checkpoint: str,
                    count: str = "count", trigger: str | None = "available_now",
-                   base_root: str | None = None,
-                   compact_every: int | None = None) -> StreamingQuery:
+                   base_root: str | None = None, compact_every: int | None = None,
+                   seed: DataFrame | None = None) -> StreamingQuery:
     """Count per key over the whole stream; changed keys appended per batch.
 
+    ``seed`` (keys, ``count``) are counts to start from: the first batch writes
+    all of its keys, and every later row holds its key's seed as well.
+
     With ``base_root`` and ``compact_every``, every n-th batch also writes a
     compacted base so that ``current(..., base_root=...)`` reads stay bounded.
     """
     agg = stream.groupBy(*_keys(keys)).agg(F.count(F.lit(1)).alias(count))
 
     def sink(b: DataFrame, i: int) -> None:
-        write_batch(b, out_path, i)
+        write_batch(b if seed is None else seeded(b, seed, keys, count, "full_outer" if i == 0 else "left"), out_path, i)
         if base_root and compact_every and (i + 1) % compact_every == 0:
             compact(b.sparkSession, out_path, keys, base_root, i)
     return start(agg, sink, checkpoint, "update", trigger)
 
 
 def seeded(counts: DataFrame, seed: DataFrame, keys: Sequence[str] | str,
-           count: str = "count") -> DataFrame:
-    """Counts with an initial state: seed + occurrences; seed-only keys appear too."""
+           count: str = "count", how: str = "full_outer") -> DataFrame:
+    """Counts with an initial state: seed + occurrences; with a full join seed-only keys appear too."""
     keys = _keys(keys)
-    s = seed.select(*keys, F.col(count).alias("_seed"))
-    j = counts.join(s, keys, "full_outer")
-    return j.select(*keys, (F.coalesce(F.col(count), F.lit(0))
+    s = seed.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(count).alias("_seed"))
+    j = counts.join(s, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], how)
+    return j.select(*[F.coalesce(k, f"_{k}").alias(k) for k in keys], (F.coalesce(F.col(count), F.lit(0))
                             + F.coalesce(F.col("_seed"), F.lit(0))).cast("long").alias(count))
 
 
@@ -199,12 +184,15 @@ def snapshot(agg: DataFrame, derive: Callable[[DataFrame], DataFrame], out_path:
     """Complete-mode aggregate -> derived table, one new version per micro-batch.
 
     Each batch writes ``version=<batch id>`` (a replay rewrites its own
-    version), so readers of ``read_snapshot`` never see a half-written table.
+    version) and points to it last, so readers of ``read_snapshot`` never see a
+    half-written table. Of the older versions the previous one stays, for those
+    who still read it.
     """
     def sink(b: DataFrame, i: int) -> None:
-        out = derive(b).withColumn(VERSION, F.lit(i).cast("long"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(VERSION, *partition_cols).parquet(out_path))
+        out = derive(b).write.mode("overwrite")
+        (out.partitionBy(*partition_cols) if partition_cols else out).parquet(f"{out_path}/{VERSION}={i}")
+        point_to(b.sparkSession, out_path, i)
+        remove(b.sparkSession, f"{out_path}/{VERSION}={i - 2}")
     return start(agg, sink, checkpoint, "complete", trigger)
 
 
@@ -212,10 +200,8 @@ VERSION = "version"
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Newest complete version of a snapshot table (older versions are pruned)."""
-    df = spark.read.parquet(path)
-    newest = df.agg(F.max(VERSION)).first()[0]
-    return df.filter(F.col(VERSION) == F.lit(newest)).drop(VERSION)
+    """The version that the pointer names; no other folder is listed."""
+    return spark.read.parquet(f"{path}/{VERSION}={current_version(spark, path)}")
 
 
 # -- incremental per-group rankings -------------------------------------------
@@ -247,8 +233,8 @@ def incremental_ranked(agg: DataFrame, part_col: str, keys: Sequence[str],
     (e.g. origin), for the touched partitions only. ``derive`` then ranks
     the full rows of those partitions, and the result overwrites the same
     partitions of ``out_path``. Per-batch cost follows the touched groups,
-    not the number of keys. The touched values are a list bounded by the
-    group domain (airports), used as static partition filters.
+    not the number of keys: the touched groups are semi-joined by the
+    partition column, null included.
     """
     keys = list(keys)
 
@@ -256,12 +242,14 @@ def incremental_ranked(agg: DataFrame, part_col: str, keys: Sequence[str],
         changed = batch.persist()
         try:
             spark = changed.sparkSession
-            touched = [r[0] for r in changed.select(part_col).distinct().collect()]
-            if not touched:
+            if changed.isEmpty():
                 return
-            old = read_or_empty(spark, state_path, changed.schema) \
-                .filter(F.col(part_col).isin(touched))
-            keep = old.join(changed.select(*keys), keys, "left_anti")
+            # null is a group of its own, as in the batch form
+            touched = changed.select(F.col(part_col).alias("_touched")).distinct()
+            new = changed.select(*[F.col(c).alias(f"_{c}") for c in keys])
+            keep = (read_or_empty(spark, state_path, changed.schema)
+                    .join(touched, F.col(part_col).eqNullSafe(F.col("_touched")), "left_semi")
+                    .join(new, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys], "left_anti"))
             # the merge reads the partitions it replaces: materialise it first
             merged = keep.unionByName(changed).checkpoint(eager=True)
             overwrite_partitions(merged, state_path, part_col)

@@ -40,11 +40,23 @@ def stream_source(spark: SparkSession, kind: str, path: str | None = None, schem
     raise ValueError(f"unknown stream kind {kind!r}")
 
 
-def split_to_batches(df: DataFrame, path: str, n: int, batch) -> None:
-    """Write ``df`` as ``n`` input batches, one file per batch folder ``batch=i``.
+def split_to_batches(df: DataFrame, path: str, batch) -> None:
+    """Write ``df`` as input batches: every task adds its files to the folders ``part=i``.
 
-    ``batch`` is an expression giving each row's batch in [0, n); every row
-    lands in exactly one batch. Used to replay a table as a stream.
+    ``batch`` is an expression giving each row's batch; every row lands in
+    exactly one. Nothing is shuffled, so a batch has as many files as the input
+    has splits. Used to replay a table as a stream.
     """
-    out = df.withColumn("batch", batch.cast("int"))
-    out.repartition(n, "batch").write.mode("overwrite").partitionBy("batch").parquet(path)
+    out = df.withColumn("batch", batch.cast("int")).withColumn("part", F.col("batch"))
+    out.write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def batch_streams(spark: SparkSession, path: str, n: int, schema: str) -> list[DataFrame]:
+    """The ``n`` batches of ``split_to_batches`` as streams to be drained one after the other.
+
+    Stream i sees the folders 0 to i and, by its query's checkpoint, takes what is
+    new: all files of batch i as one micro-batch. So the order is that of the
+    batch numbers and does not depend on file times.
+    """
+    seen = [",".join(map(str, range(i + 1))) for i in range(n)]
+    return [stream_source(spark, "files", f"{path}/part={{{s}}}", schema=schema) for s in seen]

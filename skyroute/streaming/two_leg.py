@@ -50,14 +50,18 @@ def stream_two_leg(flights: DataFrame, year: int, out_path: str, checkpoint: str
 
 # -- incremental form ---------------------------------------------------------
 
-def _prev_month(d):
-    return (d.replace(day=1) - _dt.timedelta(days=1)).replace(day=1)
-
-
 def _next_month(d):
     return (d.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
 
 
+def _months(first, last) -> list:
+    """First days of all months from the month of ``first`` to that of ``last``."""
+    out = [first.replace(day=1)]
+    while _next_month(out[-1]) <= last:
+        out.append(_next_month(out[-1]))
+    return out
+
+
 def _month(c) -> F.Column:
     return F.trunc(F.col(c) if isinstance(c, str) else c, "month")
 
@@ -65,7 +69,7 @@ def _month(c) -> F.Column:
 def stream_two_leg_incremental(flights: DataFrame, year: int, legs_path: str, trips_path: str,
                                checkpoint: str, gap_days: int = 2,
                                trigger: str | None = "available_now") -> StreamingQuery:
-    """Two-leg trips maintained per touched month (``gap_days`` < 28).
+    """Two-leg trips maintained per touched month.
 
     State emits only the leg keys whose best flight changed in the batch
     (update mode). The best-leg table, partitioned by month, is merged for
@@ -95,18 +99,21 @@ def stream_two_leg_incremental(flights: DataFrame, year: int, legs_path: str, tr
         months = sorted({r[0] for r in changed.select("leg_month").distinct().collect()})
         if not months:
             return
-        # a changed second leg early in a month may start a trip the month before
-        trip_months = sorted(set(months) | {_prev_month(m) for m in months})
+        # a changed second leg belongs to trips that start ``gap_days`` earlier
+        gap = _dt.timedelta(days=gap_days)
+        trip_months = sorted({x for m in months for x in _months(m - gap, m)})
 
         old = read_or_empty(spark, legs_path, schema)
         keep = (old.filter(F.col("leg_month").isin(months))
-                   .join(changed.select("side", *_KEY), ["side", *_KEY], "left_anti"))
+                   .join(changed.select(*[F.col(c).alias(f"_{c}") for c in ("side", *_KEY)]),
+                         [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("side", *_KEY)], "left_anti"))
         # the merge reads the partitions it replaces: materialise it first
         merged = keep.unionByName(changed).checkpoint(eager=True)
         overwrite_partitions(merged, legs_path, "leg_month")
 
-        # legs of the trip months and of the month after (second legs)
-        need = sorted(set(trip_months) | {_next_month(m) for m in trip_months})
+        # legs of the trip months and of the months of their second legs
+        need = sorted({x for m in trip_months
+                       for x in _months(m, _next_month(m) - _dt.timedelta(days=1) + gap)})
         legs = (read_or_empty(spark, legs_path, schema)
                 .filter(F.col("leg_month").isin(need)).drop("leg_month"))
         trips = (trips_from_sided(legs, gap_days)

@@ -41,14 +41,36 @@ def test_archive_lines_and_errors(spark, tmp_path):
     assert good.count() == 3 + 25
     assert rows(good.filter(F.col("member") == "On_Time_2008_1.csv"), "line_no", "line") == [
         (0, "h1,h2"), (1, "1,2"), (2, "3,4")]
-    errs = archive_errors(lines).collect()
-    assert len(errs) == 1 and errs[0].archive.endswith("bad.zip")
+    errs = [r.archive.rsplit("/", 1)[1] for r in archive_errors(lines).collect()]
+    assert sorted(errs) == ["bad.zip", "empty.zip"]
+
+
+def test_damaged_archives_give_an_error_and_no_lines(spark, tmp_path):
+    text = "".join(f"{i},{i * i}\n" for i in range(5000))
+    with zipfile.ZipFile(tmp_path / "UPPER.ZIP", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("GOOD.CSV", text)
+    whole = (tmp_path / "UPPER.ZIP").read_bytes()
+    (tmp_path / "deflate.zip").write_bytes(whole[:500] + b"\xff" * 200 + whole[700:])
+    (tmp_path / "cut.zip").write_bytes(whole[:len(whole) // 2])
+    with zipfile.ZipFile(tmp_path / "crc.zip", "w") as zf:  # stored, so that only the checksum tells
+        zf.writestr("a.csv", text)
+    plain = (tmp_path / "crc.zip").read_bytes()
+    (tmp_path / "crc.zip").write_bytes(plain.replace(b"4999,", b"4998,"))
+    lines = archive_lines(spark, str(tmp_path))
+    good = lines.filter(F.col("error").isNull())
+    assert good.count() == 5000 and good.select("archive").distinct().count() == 1
+    errs = [r.archive.rsplit("/", 1)[1] for r in archive_errors(lines).collect()]
+    assert sorted(errs) == ["crc.zip", "cut.zip", "deflate.zip"]
 
 
-def test_archive_line_cap(spark, tmp_path):
-    root = _archives(tmp_path)
-    lines = archive_lines(spark, str(root), max_lines=2).filter(F.col("error").isNull())
-    assert lines.count() == 4
+def test_storage_errors_are_not_corruption(monkeypatch):
+    from skyroute.sources import ingest
+
+    def lost(path):
+        raise OSError("connection reset")
+    monkeypatch.setattr(ingest, "_open_input", lost)
+    with pytest.raises(OSError):
+        ingest._fault("x.zip")
 
 
 def test_unknown_file_type_is_refused(spark, tmp_path):

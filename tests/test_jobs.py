@@ -2,8 +2,10 @@
 
 from skyroute import jobs
 from skyroute.plans import questions as q
-from skyroute.plans.fixture import read_stored_flights
-from skyroute.sources.csv import filter_ontime, read_ontime_filtered, read_ontime_raw, write_csv
+from skyroute.sources.csv import (
+    filter_ontime, read_ontime_filtered, read_ontime_raw, read_stored_flights, write_csv,
+)
+from skyroute.streaming.questions import read_answer
 from tests.conftest import rows
 from tests.test_csv_sources import write_raw_ontime
 
@@ -36,9 +38,32 @@ def test_load_rank_publish_lookup_and_stream(spark, tmp_path, capsys):
     sout, ck = str(tmp_path / "stream_out"), str(tmp_path / "stream_ck")
     jobs.main(["stream", "carriers-by-origin", "--source", "files", "--path", str(lines),
                "--output", sout, "--checkpoint", ck, "--trigger", "available_now"])
-    got = rows(spark.read.parquet(sout), "origin", "airline_id", "mean", "rank")
-    assert [(o, a, m, r) for o, a, m, r in got] == \
-        [(o, a, m, r) for o, a, m, r in want]
+    # the same schema and key as the batch job's table
+    assert rows(spark.read.parquet(sout), "origin", "airlineid", "depdelay", "rank") == want
+    assert jobs.lookup(spark, sout, origin="ORD").count() == jobs.lookup(spark, out, origin="ORD").count() > 0
+    for question, cols in [("top-airports", ["airport", "count", "rank"]),
+                           ("top-airlines", ["airline_id", "mean_arr_delay", "rank"])]:
+        qout = str(tmp_path / question)
+        jobs.main(["stream", question, "--source", "files", "--path", str(lines), "--output", qout,
+                   "--checkpoint", qout + "_ck", "--trigger", "available_now"])
+        batch = q.top_airports(flights) if question == "top-airports" else q.top_airlines(flights)
+        assert rows(read_answer(spark, question, qout), *cols) == rows(batch, *cols)
+
+
+def test_launcher_runs_from_another_folder(tmp_path):
+    import pathlib
+    import subprocess
+    import sys
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    write_raw_ontime(raw / "p.csv")
+    launcher = pathlib.Path(jobs.__file__).resolve().parents[1] / "run_job.py"
+    for job in (["load", "--input", str(raw), "--output", str(tmp_path / "typed")],
+                ["--show", "3", "top-airports", "--flights", str(tmp_path / "typed")]):
+        done = subprocess.run([sys.executable, str(launcher), "--master", "local[2]", *job], cwd=tmp_path,
+                              capture_output=True, text=True, timeout=180)
+        assert done.returncode == 0, done.stderr[-2000:]
+    assert "ORD" in done.stdout
 
 
 def test_stream_jobs_wordcount_and_two_leg(spark, tmp_path):
@@ -93,7 +118,7 @@ def test_remaining_batch_jobs(spark, tmp_path, capsys):
     jobs.main(["unzip", "--input", str(root), "--output", str(tmp_path / "chunks"),
                "--lines-per-file", "10"])
     assert any(f.endswith(".gz") for f in os.listdir(tmp_path / "chunks"))
-    assert spark.read.json(str(tmp_path / "chunks_errors")).count() == 1
+    assert spark.read.json(str(tmp_path / "chunks_errors")).count() == 2
     # survey: load (filter) then top airports
     buf = io.StringIO()
     w = csv.writer(buf, lineterminator="\n")

@@ -49,6 +49,17 @@ def test_hhmm_property(spark, toks):
         assert r.m == strptime_minutes(r.t), r.t
 
 
+def test_dates_and_floats_are_whole_tokens(spark):
+    from skyroute.functions.parse import lenient_double, parse_date
+    dates = {"2008-01-05": dt.date(2008, 1, 5), "2008-1-5": dt.date(2008, 1, 5), "2008": None, "2008-01": None,
+             "2008-01-05 junk": None, "2008-02-30": None, "2008-01-05T00:00:00": None, "": None}
+    floats = {"1.5": 1.5, "-3.00": -3.0, "1e2": 100.0, ".5": 0.5, "12d": None, "3f": None, "0x1p3": None, "": None,
+              "1,2": None, "-": None, "inf": float("inf"), "x": None}
+    for cases, fn in ((dates, parse_date), (floats, lenient_double)):
+        df = spark.createDataFrame([(t,) for t in cases], "t string")
+        assert {r.t: r.v for r in df.select("t", fn("t").alias("v")).collect()} == cases
+
+
 RAW_COLS = ["flight_date", "airline_id", "flight_num", "origin", "dest", "crs_dep_time",
             "dep_delay", "crs_arr_time", "arr_delay", "cancelled", "cancellation_code",
             "diverted", "distance"]

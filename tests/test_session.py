@@ -1,3 +1,5 @@
+import pytest
+
 from skyroute.session import DEFAULT_CONF, ensure_checkpoint_dir, scratch_path
 
 
@@ -11,6 +13,23 @@ def test_scratch_lives_under_the_session_checkpoint_dir(spark):
     assert a.startswith(root.rstrip("/") + "/skyroute/") and a != b
 
 
+def test_no_machine_local_scratch_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
 def test_session_defaults(spark):
     assert DEFAULT_CONF["spark.ui.enabled"] == "false"
     for key in ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit",

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from skyroute.operators.aggregate import tokens, wordcount
 from skyroute.operators.trips import best_trips
+from skyroute.sources.versions import current_version
 from skyroute.streaming import running as R
 from skyroute.streaming.control import run_until_marker
-from skyroute.streaming.sources import stream_source
+from skyroute.streaming.sources import batch_streams, stream_source
 from skyroute.streaming.two_leg import stream_two_leg
 from tests.conftest import rows
 from tests.test_trips import LEGS, SCHEMA
@@ -53,9 +54,10 @@ def test_restart_resumes_from_checkpoint(spark, tmp_path):
 def test_seeded_counts(spark, tmp_path):
     src = _write_text_batches(tmp_path, WORD_BATCHES[:2])
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
-    R.run(R.running_counts(tokens(stream_source(spark, "text", src), "value"), "word", out, ck))
     seed = spark.createDataFrame([("hello", 1), ("world", 1), ("a", 1)], "word string, count long")
-    got = dict(rows(R.seeded(R.current(spark, out, "word"), seed, "word")))
+    stream = stream_source(spark, "text", src, max_files_per_trigger=1)
+    R.run(R.running_counts(tokens(stream, "value"), "word", out, ck, seed=seed))
+    got = dict(rows(R.current(spark, out, "word")))
     assert got["hello"] == 1 and got["world"] == 1 and got["a"] == 4 and got["b"] == 1
 
 
@@ -67,6 +69,10 @@ def test_stop_after_marker_batch(spark, tmp_path):
                      lambda b, i: seen.extend(r.value for r in b.collect()),
                      str(tmp_path / "ck"))
     assert seen == ["one", "two", "three", "0.75 marker"]
+    # the batches after the marker were not committed: a restart gets every one of them
+    run_until_marker(s, F.lit(False), lambda b, i: seen.extend(r.value for r in b.collect()),
+                     str(tmp_path / "ck"))
+    assert seen == ["one", "two", "three", "0.75 marker", "later", "later2"]
 
 
 def test_stream_two_leg_across_batches_and_replay(spark, tmp_path):
@@ -86,7 +92,8 @@ def test_stream_two_leg_across_batches_and_replay(spark, tmp_path):
     R.run(stream_two_leg(s, 2008, out, ck))
     cols = ["origin1", "dest1", "dest2", "startdate", "flightnum1", "flightnum2", "total_delay"]
     assert rows(R.read_snapshot(spark, out), *cols) == rows(best_trips(df, 2008), *cols)
-    assert spark.read.parquet(out).select("version").distinct().count() >= 3
+    kept = sorted(f for f in os.listdir(out) if f.startswith("version="))
+    assert len(kept) == 2 and current_version(spark, out) == int(kept[-1].split("=")[1]) >= 2
 
 
 def test_per_batch_counts(spark, tmp_path):
@@ -155,13 +162,63 @@ def test_incremental_ranked_equals_batch(spark, tmp_path):
         rows(want, "origin", "carrier", "m", "rank")
 
 
+def test_null_groups_rank_as_in_batch(spark, tmp_path):
+    from skyroute.operators.aggregate import mean_by
+    from skyroute.operators.ranking import top_k_by
+    schema = "origin string, dest string, delay double"
+    batches = [[("A", None, 5.0), (None, "Y", 1.0)], [("A", None, 1.0), (None, "Y", 4.0), ("A", "B", 2.0)]]
+    src = tmp_path / "in"
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, schema).write.parquet(str(src / f"part={i}"))
+    keys = ["origin", "dest"]
+
+    def derive(b):
+        return top_k_by(b.select(*keys, (F.col("total") / F.col("n")).alias("m")), "origin", ["m", "dest"], 5)
+    out = str(tmp_path / "out")
+    R.drain(batch_streams(spark, str(src), 2, schema), lambda s: R.incremental_ranked(
+        R.running_sum_count(s, keys, "delay"), "origin", keys, derive, str(tmp_path / "st"), out, str(tmp_path / "ck")))
+    want = top_k_by(mean_by(spark.createDataFrame(batches[0] + batches[1], schema), keys, "delay", "m"), "origin",
+                    ["m", "dest"], 5)
+    assert rows(spark.read.parquet(out), *keys, "m", "rank") == rows(want, *keys, "m", "rank")
+
+
+def test_two_leg_stream_with_unknown_airports_and_a_long_gap(spark, tmp_path):
+    from skyroute.streaming.two_leg import stream_two_leg_incremental
+    d = dt.date
+    legs = [(d(2008, 1, 31), 1, 1, None, "B", 600, 700, 1.0, False, False),
+            (d(2008, 3, 31), 1, 2, "B", None, 900, 950, 2.0, False, False),
+            (d(2008, 3, 31), 1, 3, "B", "C", 900, 950, 3.0, False, False),
+            (d(2008, 1, 31), 1, 4, "A", None, 600, 700, 1.0, False, False),
+            (d(2008, 3, 31), 1, 5, None, "D", 900, 950, 1.0, False, False)]
+    src = tmp_path / "legs"
+    for i, part in enumerate([legs[1:3] + legs[4:], legs[:1] + legs[3:4], legs[1:2]]):
+        spark.createDataFrame(part, SCHEMA).write.parquet(str(src / f"part={i}"))
+    out = str(tmp_path / "trips")
+    R.drain(batch_streams(spark, str(src), 3, SCHEMA), lambda s: stream_two_leg_incremental(
+        s, 2008, str(tmp_path / "l"), out, str(tmp_path / "ck"), gap_days=60))
+    cols = ["origin1", "dest1", "dest2", "startdate", "flightnum1", "flightnum2", "total_delay"]
+    got = rows(spark.read.parquet(out), *cols)
+    assert got == rows(best_trips(spark.createDataFrame(legs, SCHEMA), 2008, gap_days=60), *cols)
+    assert len(got) == 2 and {r[0] for r in got} == {None}
+
+
+def test_files_per_batch_grow_with_the_input(spark, tmp_path):
+    from skyroute.streaming.sources import split_to_batches
+    for splits in (2, 6):
+        df = spark.range(0, 600, 1, splits).withColumn("v", F.col("id").cast("string"))
+        split_to_batches(df, str(tmp_path / str(splits)), F.pmod(F.col("id"), F.lit(3)))
+        for i in range(3):
+            files = os.listdir(tmp_path / str(splits) / f"part={i}")
+            assert sum(f.endswith(".parquet") for f in files) == splits
+
+
 def test_changelog_compaction(spark, tmp_path):
     from tests.explain_util import explain
     src = _write_text_batches(tmp_path, WORD_BATCHES)
     s = stream_source(spark, "text", src, max_files_per_trigger=1)
     out, ck, base = str(tmp_path / "out"), str(tmp_path / "ck"), str(tmp_path / "base")
     R.run(R.running_counts(tokens(s, "value"), "word", out, ck, base_root=base, compact_every=2))
-    assert R.latest_base(spark, base) == 3
+    assert current_version(spark, base) == 3
     want = rows(wordcount(spark.read.text(src), "value"))
     assert rows(R.current(spark, out, "word", base_root=base)) == want
     assert rows(R.current(spark, out, "word")) == want
