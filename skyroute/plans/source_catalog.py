@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from skyroute.operators.aggregate import tokens
 from skyroute.operators.flights import accepted
 from skyroute.operators.lookup import with_names
+from skyroute.operators.trips import best_trips
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q
 from skyroute.plans.catalog import FLIGHTS_CTE, ORACLE_SQL, TRIP_YEAR, TWO_LEG_BEST_SQL, register
@@ -76,7 +77,7 @@ def two_leg_allowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = nation.select("n_regionkey", F.col("n_name").alias("origin"))
     y = nation.select("n_regionkey", F.col("n_name").alias("dest"))
     routes = x.join(y, "n_regionkey").select("origin", "dest")
-    return q.best_trips(fx.flights(spark, sf_dir), TRIP_YEAR, first_routes=routes, second_routes=routes)
+    return best_trips(fx.flights(spark, sf_dir), TRIP_YEAR, first_routes=routes, second_routes=routes)
 
 
 @register("stream_wordcount_text", """
