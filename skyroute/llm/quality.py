@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD_BUCKETS = 1 << 14
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 #: Character classes: lower, upper, digit, space, line break, sentence marks, other ASCII, non-ASCII.
 _CLASS = np.full(256, 7, np.uint8)
 _CLASS[:128] = 6
