@@ -47,9 +47,10 @@ def test_whole_table(spark):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-@pytest.mark.parametrize("k", [2, 5])
-def test_large_groups_of_near_copies(spark, k):
+@pytest.mark.parametrize("k, block", [(2, 4096), (5, 4096), (2, 20)])
+def test_large_groups_of_near_copies(spark, monkeypatch, k, block):
     """One family whose members are often less alike than 0.8 to each other, chains, and copies."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     rng = random.Random(k)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     docs = []
