@@ -11,7 +11,7 @@ from skyroute.session import scratch_path
 #: ``broadcast()`` is hinted only for tables whose measured size is at most this many bytes.
 BROADCAST_BYTES = 64 << 20
 #: Distinct words whose hashes a Python worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 
 
 class WordHashes(dict):

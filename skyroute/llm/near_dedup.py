@@ -97,20 +97,22 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(bands, rows, seed)
         for b in batches:
-            out = []
-            for t in _texts(b, 1):
-                s = shingle_set(t, k)
-                if len(s):
-                    m = hasher.signature(s)
-                    out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), hasher.keys(m),
-                                (m & np.uint32(0xFFFF)).astype(np.uint16).tobytes()))
-                else:
-                    out.append((0, None, None, None))
-            n, digest, keys, sig = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                ["id", "n_shingles", "digest", "keys", "signature"])
+            for i in range(0, b.num_rows, 512):
+                part, out = b.slice(i, 512), []
+                for t in _texts(part, 1):
+                    s = shingle_set(t, k)
+                    if len(s):
+                        m = hasher.signature(s)
+                        out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), hasher.keys(m),
+                                    (m & np.uint32(0xFFFF)).astype(np.uint16).tobytes()))
+                    else:
+                        out.append((0, None, None, None))
+                n, digest, keys, sig = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()),
+                     pa.array(keys, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
+                    ["id", "n_shingles", "digest", "keys", "signature"])
+        _hashes.clear()  # idle workers hold no words
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(
         run, "id long, n_shingles long, digest binary, keys array<long>, signature binary")
@@ -164,6 +166,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
                 part = b.slice(i, 512)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(
                     [shingle_set(t, k).tobytes() for t in _texts(part, 1)], pa.binary())], ["id", "shingles"])
+        _hashes.clear()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -216,6 +219,7 @@ def across(split: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands:
                      pa.array([m[:steps[-1]].astype(np.uint16).tobytes() for m in signed], pa.binary()),
                      pa.array([np.sort(x.astype(np.uint32)).tobytes() for x in sets], pa.binary())],
                     ["id", "bands", "signature", "shingles"])
+        _hashes.clear()
 
     profile = stored(texts.join(hinted(ids, ids.count(), 32), "id", "left_semi").mapInArrow(
         profiles, "id long, bands binary, signature binary, shingles binary"), "near-profiles").dropDuplicates(["id"])
