@@ -2,9 +2,17 @@
 
 Token counts are summed per cell (one value of every dimension). Raking scales the
 cells' token weights to each dimension's target shares in turn, ``rounds`` times. A
-document of a cell is kept with probability ``calibrated weight / cell tokens``, scaled
-so that the largest probability is 1 (nothing is repeated), by a uniform number that
-its id and the seed decide. So the kept tokens follow the targets in expectation.
+document of a cell is kept by a uniform number that its id and the seed decide, with a
+probability proportional to ``calibrated weight / cell tokens`` (nothing is repeated):
+
+* with ``keep``, the share of all tokens to keep, it is ``min(1, factor * ratio)``, with the
+  factor that meets this budget: cells at 1 stay whole, the others share what is left of
+  the budget by their weights. A tiny cell then moves the others by its own tokens only.
+  The kept tokens follow the targets in expectation, but for what cells at 1 lack; a
+  budget above the tokens that have a target keeps all of those. ``__rate`` states the
+  share kept in expectation.
+* without it, the largest probability is 1: the kept tokens follow the targets in
+  expectation, at whatever rate (``__rate``) the cell with the largest ratio allows.
 
 A dimension's target is either a table (value, share) or, without one, its own token
 shares raised to ``power`` below 1, which lifts rare values. Values missing from a given
@@ -78,19 +86,45 @@ def rake(cells: DataFrame, dims: list[str], power: float, rounds: int,
     return rows.drop(*[f"__target_{d}" for d in dims])
 
 
+def budget_factor(raked: DataFrame, keep: float) -> float:
+    """The factor with sum(min(tokens, factor * weight)) = keep * sum(tokens); infinite if cells have too few tokens.
+
+    Newton's method from below: the sum is concave in the factor, so the factor only grows,
+    each step fills at least one more cell, and the step that fills none is exact.
+    """
+    budget = keep * (raked.agg(F.sum("tokens")).first()[0] or 0)
+    factor, step = 0.0, budget
+    while step > factor * (1 + 1e-12):
+        factor = step
+        full = F.col("weight") * F.lit(factor) >= F.col("tokens")
+        taken, left = raked.where("weight > 0").agg(
+            F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("weight")))).first()
+        if not left:
+            return float("inf")
+        step = (budget - (taken or 0)) / left
+    return factor
+
+
 def probabilities(cells: DataFrame, dims: list[str], power: float, rounds: int,
-                  targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(dims, tokens, weight, probability) of every cell."""
+                  targets: dict[str, DataFrame] | None = None, keep: float | None = None) -> DataFrame:
+    """(dims, tokens, weight, probability) of every cell, and the share of all tokens kept (rate)."""
     raked = rake(cells, dims, power, rounds, targets)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    top = raked.agg(F.max(ratio)).first()[0] or 1.0
-    return stored(raked.withColumn("probability", F.round(F.coalesce(ratio / F.lit(top), F.lit(1.0)), 9))
-                  .withColumn("weight", F.round("weight", 9)), "probabilities")
+    if keep is None:
+        top = raked.agg(F.max(ratio)).first()[0] or 1.0
+        chance = F.round(F.coalesce(ratio / F.lit(top), F.lit(1.0)), 9)
+    else:
+        factor = F.lit(budget_factor(raked, keep))
+        chance = F.coalesce(F.when(ratio > 0, F.least(ratio * factor, F.lit(1.0))).otherwise(ratio), F.lit(1.0))
+    known = stored(raked.withColumn("probability", chance).withColumn("weight", F.round("weight", 9)), "probabilities")
+    rate = known.agg(F.sum(F.col("tokens") * F.col("probability")) / F.sum("tokens")).first()[0]
+    return known.withColumn("rate", F.lit(1.0 if rate is None else rate))
 
 
 def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, id_col: str = "doc_id", power: float = 0.7,
-        rounds: int = 12, seed: int = 1, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``docs`` with ``__``-prefixed columns: the dims, tokens, weight, probability, draw and sampled.
+        rounds: int = 12, seed: int = 1, targets: dict[str, DataFrame] | None = None,
+        keep: float | None = None) -> DataFrame:
+    """``docs`` with ``__``-prefixed columns: the dims, tokens, weight, probability, rate, draw and sampled.
 
     Documents are only joined with their cell; cells are broadcast if their measured size
     allows it, else the join shuffles (adaptive execution splits large cells).
@@ -98,10 +132,10 @@ def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, id_col: str =
     names = {f"__{d}": c for d, c in dims.items()}
     rows = docs.withColumns(names | {"__tokens": tokens})
     cells = stored(rows.groupBy(*names).agg(F.sum("__tokens").alias("tokens")), "cells")
-    known = probabilities(cells, list(names), power, rounds, targets and {f"__{d}": t for d, t in targets.items()})
+    known = probabilities(cells, list(names), power, rounds, targets and {f"__{d}": t for d, t in targets.items()}, keep)
     size = known.agg(F.sum(sum((F.coalesce(F.octet_length(d), F.lit(0)) for d in names), F.lit(96)))).first()[0] or 0
     sides = known.select(*[F.col(d).alias(f"{d}__cell") for d in names], F.col("weight").alias("__weight"),
-                         F.col("probability").alias("__probability"))
+                         F.col("probability").alias("__probability"), F.col("rate").alias("__rate"))
     same = [F.col(d).eqNullSafe(F.col(f"{d}__cell")) for d in names]
     return (rows.join(hinted(sides, size, 1), same).drop(*[f"{d}__cell" for d in names])
             .withColumn("__draw", uniform(F.col(id_col), seed))

@@ -28,6 +28,22 @@ def test_raked_weights_meet_the_targets(spark):
     assert abs(kept["fr"] / kept.sum() - 0.5) < 0.2
 
 
+def test_budget_is_met_with_full_cells(spark):
+    rows = [(i, s, n) for i, (s, n) in enumerate([("a", 1000), ("b", 400), ("c", 20), ("d", 3), ("e", 0)])]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n long")
+    for keep in (0.0, 0.01, 0.3, 0.9, 1.0):
+        got = mixing.mix(docs, {"source": F.col("source")}, F.col("n"), power=0.5, keep=keep).toPandas().set_index("source")
+        p, ratio = got["__probability"], (got["__weight"] / got["n"]).dropna()
+        assert abs((p * got["n"]).sum() - keep * 1423) < 1e-6 and abs(got["__rate"] - keep).max() < 1e-9
+        assert p.between(0, 1).all() and p["e"] == 1
+        part = [s for s in ratio.index if p[s] < 1]
+        assert all(abs(p[x] / ratio[x] - p[y] / ratio[y]) <= 1e-4 * p[x] / ratio[x] for x in part for y in part)
+    share = spark.createDataFrame([("b", 1.0), ("c", 1.0)], "source string, share double")
+    got = mixing.mix(docs, {"source": F.col("source")}, F.col("n"), targets={"source": share}, keep=0.9).toPandas()
+    assert dict(zip(got["source"], got["__probability"], strict=True)) == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 1}
+    assert abs(got["__rate"] - 420 / 1423).max() < 1e-9
+
+
 def test_mix_hard_rows(hard_docs, no_docs):
     got = _mix(hard_docs).toPandas()
     assert len(got) == hard_docs.count() and list(got.columns[:7]) == hard_docs.columns

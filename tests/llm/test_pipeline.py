@@ -1,7 +1,9 @@
 """The corpus pipeline, stage by stage, against plain Python."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
-from skyroute.llm import sharding
+from skyroute.llm import mixing, sharding
 from tests.llm.conftest import SF, table
 from tests.llm.test_native import _brute
 from tests.llm.test_near_dedup import _components
@@ -48,3 +50,13 @@ def test_hard_rows(spark, hard_docs, no_docs):
             assert sorted((r.doc_id or 0) for r in got.collect()) == [0, 1, 2, 3, 4, 6, 7, 8]
         elif name != "mixture":
             assert got.count() == {"language_id": 7}.get(name, 10)
+
+
+def test_a_tiny_cell_does_not_set_the_rate_of_the_mixture(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    tiny = docs.limit(1).selectExpr("-1L doc_id", "'two words' text", "'xx' lang", "'own source' source", "9L n_chars")
+    n = dict(docs.select("doc_id", mixing.n_tokens(F.col("text"))).collect()) | {-1: 2}
+    kept = [{r.doc_id for r in cp.mixture(spark, d, SF).collect()} for d in (docs, docs.unionByName(tiny.to(docs.schema)))]
+    share = [sum(n[i] for i in ids) / sum(n.values()) for ids in kept]
+    assert all(abs(s - cp.MIX_KEEP) < 0.2 for s in share) and abs(share[0] - share[1]) < 0.02
+    assert -1 in kept[1] and len(kept[0] ^ kept[1]) <= 0.02 * len(n)
