@@ -44,6 +44,26 @@ def test_budget_is_met_with_full_cells(spark):
     assert abs(got["__rate"] - 420 / 1423).max() < 1e-9
 
 
+def test_production_rounds_meet_correlated_targets(spark):
+    rows = [(f"s{i}", f"l{j}", (4 ** i) * (99_900 if i == j else 100)) for i in range(5) for j in range(5)]
+    docs = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "doc_id long, source string, lang string, n long")
+    got = mixing.mix(docs, {"source": F.col("source"), "lang": F.col("lang")}, F.col("n"), power=queries.MIX_POWER,
+                     rounds=queries.MIX_ROUNDS).toPandas()
+    for d in ("source", "lang"):
+        want = got.groupby(d)["n"].sum() ** queries.MIX_POWER
+        assert (got.groupby(d)["__weight"].sum() / (want / want.sum()) - 1).abs().max() < 2e-4
+    assert got["__residual"].max() <= mixing.TOLERANCE
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    docs = spark.createDataFrame([(1, "a", "x", 10), (2, "b", "y", 10)], "doc_id long, source string, lang string, n long")
+    share = [spark.createDataFrame([(v, 3.0), (w, 1.0)], "v string, share double") for v, w in ("ab", "yx")]
+    with pytest.warns(UserWarning, match="off their targets"):
+        got = mixing.mix(docs, {"source": F.col("source"), "lang": F.col("lang")}, F.col("n"), rounds=2,
+                         targets={"source": share[0], "lang": share[1]}).toPandas()
+    assert (got["__residual"] > 0.5).all() and list(got["__probability"].notna()) == [True, True]
+
+
 def test_mix_hard_rows(hard_docs, no_docs):
     got = _mix(hard_docs).toPandas()
     assert len(got) == hard_docs.count() and list(got.columns[:7]) == hard_docs.columns
