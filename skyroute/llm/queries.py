@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.llm import bm25, chat, decontaminate, langid, mixing, near_dedup, quality, sharding, token_counts, warc
-from skyroute.llm.common import id_fold, read, stored
+from skyroute.llm import (
+    bm25, chat, decontaminate, langid, mixing, near_dedup, periodic, quality, sharding, substrings, token_counts, trie, warc,
+)
+from skyroute.llm.common import hinted, id_fold, read, stored
 from skyroute.session import scratch_path
 
 SHARDS, SEED = 24, 20_260_101
@@ -101,9 +103,63 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.without_repeats(docs, size=20).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _grafted(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns, conversations) in which conversation c begins with the first h turns of c - c % 20 instead of its own,
+    h being crc32(decimal c) % 4."""
+    base = F.col("conv") - F.col("conv") % 20
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
+    convs = turns.select("conv").distinct()
+    stems = turns.where((F.col("conv") % 20 == 0) & (F.col("i") < 3)).withColumnRenamed("conv", "base")
+    length = stems.groupBy("base").agg(F.count(F.lit(1)).cast("int").alias("n_base"))
+    n = length.count()
+    own = (turns.join(hinted(length, n, 24), base == F.col("base"), "left").where(F.col("i") >= h)
+           .withColumn("i", F.col("i") - h + F.least(h, F.coalesce("n_base", F.lit(0)))).select(turns.columns))
+    heads = convs.join(hinted(stems, 3 * n, 64), base == F.col("base")).where(F.col("i") < h).select(turns.columns)
+    return own.unionByName(heads), convs
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = stored(trie.numbered_turns(read(spark, sf_dir, "conversations")), "turns")
+    return trie.prefix_trie(*_grafted(turns))
+
+
+def _with_period(doc_id: Column, text: Column) -> Column:
+    """Texts of a tenth of the ids rewritten so that from some word on they repeat a period."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.filter(F.split(text, "[ \\t-\\r]+", -1), lambda w: w != "")
+
+    def rewritten(w: Column) -> Column:
+        n, g = F.size(w).cast("long"), F.floor(h / 10)
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(
+            F.element_at(w, (a + F.pmod(i - a, p) + 1).cast("int")))), " ")
+
+    # the words are bound once, as the only element of an array
+    return F.when((h % 10 == 0) & (text.rlike("[^ \\t-\\r]")), F.transform(F.array(words), rewritten)[0]).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", _with_period(F.col("doc_id"), F.col("text")).alias("text"))
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda a, x: F.when(
+        x["length"] * a["period"] > a["length"] * x["period"], x).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    sha = lambda c: F.sha2(c.cast("binary"), 256)
+    return (periodic.with_runs(docs).withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    sha(F.array_join(lines, "")).alias("runs_sha256"), sha(F.col("collapsed_text")).alias("collapsed_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_feistel_shards, op3_near_dedup, op4_token_counts, op5_decontaminate, op6_quality, op7_language_id,
-    op8_chat_format, op9_bm25_top_k, op10_warc)}
+    op8_chat_format, op9_bm25_top_k, op10_warc, op11_substring_dedup, op12_prefix_trie, op13_periodic_runs)}
 
 
 # ---- the same results in DuckDB SQL ----
@@ -225,6 +281,54 @@ SELECT page_id, n AS payload_bytes, sha256(html) AS payload_digest,
 FROM q
 """
 
+_OP11_SQL = f"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda w: w <> '') AS words
+  FROM documents),
+w AS (SELECT doc_id, i, words[i:i + 19] AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d)),
+r AS (SELECT doc_id, i, rank() OVER (PARTITION BY win ORDER BY doc_id, i) AS rank FROM w),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM r WHERE rank > 1),
+x AS (SELECT doc_id, words[p] AS word, p FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS p FROM d)),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept FROM x ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+# The reflected CRC-32 polynomial's remainders of four bits.
+_CRC = [0x00000000, 0x1DB71064, 0x3B6E20C8, 0x26D930AC, 0x76DC4190, 0x6B6B51F4, 0x4DB26158, 0x5005713C,
+        0xEDB88320, 0xF00F9344, 0xD6D6A3E8, 0xCB61B38C, 0x9B64C2B0, 0x86D3D2D4, 0xA00AE278, 0xBDBDF21C]
+
+
+def _sql_crc32(text: str) -> str:
+    half = lambda c: f"xor(({c}) >> 4, {_CRC}[(({c}) & 15) + 1])"
+    bits = (f"list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), "
+            "lambda ch: ascii(ch)::BIGINT))")
+    return f"xor(list_reduce({bits}, lambda crc, ch: {half(half('xor(crc, ch)'))}), 4294967295)"
+
+
+_OP12_SQL = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations),
+c AS (SELECT c, {_sql_crc32("CAST(c AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT c FROM t)),
+b AS (SELECT c.c, 0 AS part, t.i, role, text FROM c JOIN t ON t.c = c.c - c.c % 20 AND t.i <= h
+  UNION ALL SELECT c.c, 1, t.i, role, text FROM c JOIN t ON t.c = c.c AND t.i > h),
+n AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, role, text FROM b),
+p AS (SELECT c, d, string_agg(role || chr(1) || text || chr(2), '') OVER (PARTITION BY c ORDER BY d) AS k,
+    len(list_filter(string_split_regex(text, '{_SPACES}'), lambda w: w <> '')) AS words,
+    d = max(d) OVER (PARTITION BY c) AS ends FROM n
+  UNION ALL SELECT c, 0, '', 0, c NOT IN (SELECT c FROM n) FROM c),
+nodes AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256,
+    bool_and(ends) AS leaf FROM p GROUP BY d, k),
+sums AS (SELECT a.d, a.k, count(*) FILTER (y.d = a.d + 1) AS n_children, count(*) FILTER (y.leaf) AS n_leaves,
+    CAST(sum((y.n_convs - 1) * y.words) AS BIGINT) AS saved_tokens
+  FROM nodes y JOIN p a ON a.c = y.conv_id AND a.d <= y.d GROUP BY a.d, a.k)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs, n_children, n_leaves, saved_tokens,
+  x.ends_sha256
+FROM nodes x JOIN sums s ON s.d = x.d AND s.k = x.k
+LEFT JOIN (SELECT p.c, p.d, m.conv_id FROM p JOIN nodes m ON m.d = p.d AND m.k = p.k) up ON up.c = x.conv_id AND up.d = x.d - 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": _op1_sql(), "op3_near_dedup": _OP3_SQL, "op5_decontaminate": _OP5_SQL, "op8_chat_format": _OP8_SQL,
-    "op9_bm25_top_k": _OP9_SQL, "op10_warc": _OP10_SQL}
+    "op9_bm25_top_k": _OP9_SQL, "op10_warc": _OP10_SQL, "op11_substring_dedup": _OP11_SQL, "op12_prefix_trie": _OP12_SQL}
