@@ -27,15 +27,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyroute.llm.common import hinted, stored
+
 #: Buckets of hashed trigrams.
 BUCKETS = 1 << 13
 UNDETERMINED = "und"
 
-_letter = re.compile(r"[^\W\d_]").search
+_maybe_letters = re.compile(r"[^\W\d_]+").finditer
 #: A-Z to lower case; other ASCII that is no letter to a space; the rest stays.
 _FOLDED = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter; numerals such as a half or a Roman twelve are none."""
+    return any(any(map(str.isalpha, m.group())) for m in _maybe_letters(text))
+
+
 def features(text: str, block: int = 1 << 20) -> np.ndarray:
     """Unit vector of square-rooted trigram counts; blocks overlap by two bytes, so nothing is left out."""
     raw = b" " + text.encode().translate(_FOLDED) + b" "
@@ -99,8 +106,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     thin = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("__id"))
     order = F.xxhash64("__id")
-    # about twice the rows that are asked for, so that few rows of a language meet in its ranking
-    counts = thin.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # about twice the rows that are asked for, so that few rows of a language meet in its ranking; one row a
+    # language goes to the tasks, so that no language's rows are brought together before they are few
+    counts = stored(thin.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    counts = hinted(counts, counts.count(), 64)
     few = F.pmod(order, F.lit(1 << 20)) * F.col("n") <= F.lit(2 * per_language) * (1 << 20)
     ranked = (thin.join(counts, "lang").where(few).select("lang", "__id").distinct().withColumn(
         "__rank", F.row_number().over(Window.partitionBy("lang").orderBy(order, "__id"))))
@@ -139,7 +148,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
 def decode(model: Model, texts: list[str | None], margin: float) -> list[tuple[str, float, bool]]:
     """(language, score, ambiguous) of each text."""
     out: list[tuple[str, float, bool]] = [(UNDETERMINED, 0.0, False)] * len(texts)
-    rows = [i for i, t in enumerate(texts) if t and _letter(t)]
+    rows = [i for i, t in enumerate(texts) if t and has_letter(t)]
     if not model.languages or not rows:
         return out
     if len(model.languages) == 1:
@@ -172,15 +181,33 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose language is ``und``; all columns stay."""
+#: Weighted loss of a decoder that knows nothing: every bit's margin is zero.
+NO_EVIDENCE = float(np.log(2))
+
+
+def identified(model: Model, texts: list[str | None], most: float = NO_EVIDENCE) -> list[bool]:
+    """Whether each text has a letter and lies nearer to some language's codeword than ``most``.
+
+    A text whose best loss is that of zero margins or worse contradicts every codeword on balance. If no two
+    languages were learned, nothing can be said against any text with a letter.
+    """
+    out = [bool(t) and has_letter(t) for t in texts]
+    rows = [i for i, yes in enumerate(out) if yes]
+    if rows and len(model.languages) > 1:
+        best = model.losses(np.array([features(texts[i]) for i in rows])).min(axis=1)
+        for i, loss in zip(rows, best, strict=True):
+            out[i] = bool(loss < most)
+    return out
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", most: float = NO_EVIDENCE) -> DataFrame:
+    """``docs`` without the rows that are not ``identified``; all columns stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                said = decode(model, part.column(at).to_pylist(), 0.0)
-                yield part.filter(pa.array([s[0] != UNDETERMINED for s in said]))
+                yield part.filter(pa.array(identified(model, part.column(at).to_pylist(), most), pa.bool_()))
 
     at = docs.columns.index(text_col)
     return docs.mapInArrow(run, docs.schema)
