@@ -9,6 +9,7 @@ from skyroute.functions.parse import (
     flag, hhmm_minutes, lenient_double, null_if_lone_quote, parse_date, parse_long,
 )
 from skyroute.functions.timefmt import year_filter
+from skyroute.sources.records import MALFORMED, RAW_LINE
 
 REJECT = "reject_reason"
 
@@ -32,7 +33,9 @@ def parse_flights(raw: DataFrame) -> DataFrame:
     Works with any subset of the 20 kept columns. Optional fields that do not
     parse become null; a mandatory field that does not parse (date, airline
     id, flight number, the two flags) names itself in ``reject_reason``
-    (null when the row is good). One pass, no shuffle.
+    (null when the row is good). A malformed line (``sources.records``) has its
+    fault as the reason, and rejected rows keep their line in ``raw_line``.
+    One pass, no shuffle.
     """
     have = set(raw.columns)
     cols = []
@@ -55,11 +58,16 @@ def parse_flights(raw: DataFrame) -> DataFrame:
     if "cancellation_code" in have:
         cols.append(null_if_lone_quote("cancellation_code").alias("cancellation_code"))
     reason = F.nullif(F.concat_ws(",", *reasons), F.lit("")) if reasons else F.lit(None).cast("string")
+    if MALFORMED in have:
+        # fields of a malformed line are not to be believed, nor what is wrong with them
+        reason = F.coalesce(F.col(MALFORMED), reason)
+    if RAW_LINE in have:
+        cols.append(F.when(reason.isNotNull(), F.col(RAW_LINE)).alias(RAW_LINE))
     return raw.select(*cols, reason.alias(REJECT))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col(REJECT).isNull()).drop(REJECT)
+    return parsed.filter(F.col(REJECT).isNull()).drop(REJECT, RAW_LINE)
 
 
 def rejected(parsed: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 import os
 
-from skyroute.operators.flights import REJECT, accepted, parse_flights
+from skyroute.operators.flights import accepted, parse_flights
 from skyroute.session import scratch_path
-from skyroute.sources.csv import read_stored_flights
+from skyroute.sources.csv import read_stored_flights, store_flights
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,10 +78,7 @@ def ingest_flights(spark: SparkSession, sf_dir: str, path: str) -> None:
     partitions of one write (no filter over the parse, so nothing is
     re-evaluated and the input is read once), then by ``year``.
     """
-    parsed = parse_flights(raw_flights(spark, sf_dir))
-    status = F.when(F.col(REJECT).isNull(), F.lit("ok")).otherwise(F.lit("rejected"))
-    (parsed.withColumn("status", status).withColumn("year", F.year("flight_date"))
-        .write.mode("overwrite").partitionBy("status", "year").parquet(path))
+    store_flights(parse_flights(raw_flights(spark, sf_dir)), path)
 
 
 _STORED: dict = {}

@@ -1,7 +1,9 @@
 """CSV sources and sinks of the on-time, survey and lookup data.
 
 Reading is schema-first (all strings, never inferred), quoted commas
-supported, one record per line. Typing happens in ``operators.flights``.
+supported, one record per line. Flight records are read line by line, so that
+malformed ones go to the rejects with their fault and their line
+(``sources.records``). Typing happens in ``operators.flights``.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyroute.operators.flights import REJECT, drop_empty_keys, drop_header_lines, parse_flights
+from skyroute.sources.records import MALFORMED, RAW_LINE, records
 from skyroute.schemas import (
     KEPT_RAW, LOOKUP_SCHEMA, ONTIME_KEPT_SCHEMA, ONTIME_RAW_SCHEMA, SURVEY_KEPT_RAW,
     SURVEY_KEPT_SCHEMA, SURVEY_RAW_SCHEMA,
@@ -33,31 +36,37 @@ def read_csv(spark: SparkSession, path, schema, header: bool, recursive: bool =
     return r.csv(path)
 
 
+def read_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of all text files below ``path``."""
+    return spark.read.option("recursiveFileLookup", "true").text(path).withColumnRenamed("value", "line")
+
+
 def read_ontime_raw(spark: SparkSession, path) -> DataFrame:
-    """75-column archive CSV; the first line of every file is a header."""
-    return read_csv(spark, path, ONTIME_RAW_SCHEMA, header=True)
+    """75-column archive CSV, header lines (the first of every file) included, with faults and raw lines."""
+    return records(read_lines(spark, path), ONTIME_RAW_SCHEMA)
 
 
-def filter_ontime(raw: DataFrame) -> DataFrame:
-    """Drop header lines inside the data, keep the 20 columns used downstream."""
-    return drop_header_lines(raw, "flight_date", "airline_id").select(*KEPT_RAW)
+def filter_ontime(raw: DataFrame, faults: bool = False) -> DataFrame:
+    """Drop header lines, keep the 20 columns used downstream; with ``faults`` also what is wrong with a line,
+    and the line, for ``parse_flights`` to reject it."""
+    beside = (MALFORMED, RAW_LINE) if faults else ()
+    return drop_header_lines(raw, "flight_date", "airline_id").select(*KEPT_RAW, *beside)
 
 
-def read_ontime_filtered(spark: SparkSession, path, header: bool = False) -> DataFrame:
-    """20-column filtered CSV (written without a header, so no row is skipped)."""
-    return read_csv(spark, path, ONTIME_KEPT_SCHEMA, header=header)
+def read_ontime_filtered(spark: SparkSession, path) -> DataFrame:
+    """20-column filtered CSV (written without a header), with faults and raw lines."""
+    return records(read_lines(spark, path), ONTIME_KEPT_SCHEMA)
 
 
-def read_flights_csv(spark: SparkSession, path, header: bool = False) -> DataFrame:
-    """Filtered CSV -> typed flights with ``reject_reason``."""
-    return parse_flights(read_ontime_filtered(spark, path, header))
+def read_flights_csv(spark: SparkSession, path) -> DataFrame:
+    """Filtered CSV -> typed flights with ``reject_reason`` and the rejected lines."""
+    return parse_flights(read_ontime_filtered(spark, path))
 
 
 def read_flights_text(spark: SparkSession, path) -> DataFrame:
     """Text scan + per-line CSV parse (kept layout) -> typed flights with rejects."""
     from skyroute.sources.messages import flights_from_lines
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    return parse_flights(flights_from_lines(lines.withColumnRenamed("value", "line")))
+    return parse_flights(flights_from_lines(read_lines(spark, path)))
 
 
 def read_survey_raw(spark: SparkSession, path) -> DataFrame:
@@ -98,15 +107,25 @@ def ingest_ontime(spark: SparkSession, raw_path, out_path: str) -> None:
     partitions of the same write, so the input is scanned once. Accepted
     flights are further partitioned by year for date-range pruning.
     """
-    parsed = parse_flights(filter_ontime(read_ontime_raw(spark, raw_path)))
-    (parsed.withColumn("status", F.when(F.col("reject_reason").isNull(), "ok").otherwise("rejected"))
-           .withColumn("year", F.year("flight_date"))
+    store_flights(parse_flights(filter_ontime(read_ontime_raw(spark, raw_path), faults=True)), out_path)
+
+
+def store_flights(parsed: DataFrame, out_path: str) -> None:
+    """Parsed flights as Parquet by ``status`` and ``year``.
+
+    Rows are rebalanced by the folder they go to: adaptive execution gathers small folders
+    into one task and splits large ones by size, so files are of the advisory partition size
+    rather than one for every task and year, and no year is written by a single task.
+    """
+    status = F.when(F.col(REJECT).isNull(), F.lit("ok")).otherwise(F.lit("rejected"))
+    (parsed.withColumn("status", status).withColumn("year", F.year("flight_date"))
+           .hint("rebalance", "status", "year")
            .write.mode("overwrite").partitionBy("status", "year").parquet(out_path))
 
 
 def read_ingested(spark: SparkSession, path: str, status: str = "ok") -> DataFrame:
     df = spark.read.parquet(path).filter(F.col("status") == status).drop("status")
-    return df.drop("reject_reason") if status == "ok" else df
+    return df.drop(REJECT, RAW_LINE) if status == "ok" else df
 
 
 def export_table(df: DataFrame, columns, path: str) -> None:
@@ -121,4 +140,4 @@ def import_table(spark: SparkSession, schema, path: str) -> DataFrame:
 def read_stored_flights(spark: SparkSession, path: str) -> DataFrame:
     """Accepted flights of an ingested table (prunes to the ``status=ok`` folders)."""
     return (spark.read.parquet(path).filter(F.col("status") == F.lit("ok"))
-                 .drop("status", REJECT))
+                 .drop("status", REJECT, RAW_LINE))

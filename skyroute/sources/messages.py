@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyroute.schemas import KEPT_RAW, ONTIME_KEPT_SCHEMA
+from skyroute.sources.records import records
 
 # Fixed value: lines per message in the chunked producer.
 DEFAULT_CHUNK = 5000
 
-# writing keeps an empty string as a quoted "" so it reads back as '' (an
-# unquoted empty field reads as null); no text stands for null on reading
+# writing keeps an empty string as a quoted "" so it reads back as '' (an unquoted empty field reads as null)
 _CSV_WRITE = {"sep": ",", "quote": '"', "escape": '"'}
-_CSV_READ = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0001"}
 
 
 def as_kept_layout(raw: DataFrame) -> DataFrame:
@@ -34,18 +33,17 @@ def to_csv_lines(df: DataFrame, line: str = "line") -> DataFrame:
     return df.select(F.to_csv(F.struct(*df.columns), _CSV_WRITE).alias(line))
 
 
-def with_positions(df: DataFrame, group: str = "part", pos: str = "pos") -> DataFrame:
-    """Number lines inside each input split without a shuffle or a window.
+def with_positions(df: DataFrame, path: str, group: str = "part", pos: str = "pos") -> DataFrame:
+    """Rows with their place in the stored form of ``df``: (file, number in the file).
 
-    ``monotonically_increasing_id`` is (partition id << 33) + row index, so the
-    split is the high bits and the position the low bits; lines keep their
-    order inside a split.
+    The rows are written to ``path`` once, and a row's place is where it lies there, told by Parquet's
+    own row numbers. So every later reading, however it is split into tasks and whichever of them run
+    again, numbers a line alike; numbers given while a query runs would not be the same after a lost
+    task that reads a shuffle in another order.
     """
-    mid = F.monotonically_increasing_id()
-    return (df.withColumn("_mid", mid)
-              .withColumn(group, F.shiftright(F.col("_mid"), 33))
-              .withColumn(pos, F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-              .drop("_mid"))
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.select("*", F.col("_metadata.file_name").alias(group), F.col("_metadata.row_index").alias(pos))
 
 
 def to_messages(lines: DataFrame, chunk: int = DEFAULT_CHUNK, group_cols: Sequence[str] = ("part",),
@@ -69,9 +67,8 @@ def lines_from_messages(messages: DataFrame, value: str = "value", line: str = "
 
 
 def flights_from_lines(lines: DataFrame, line: str = "line") -> DataFrame:
-    """CSV lines in the kept layout -> raw string columns (then ``parse_flights``)."""
-    parsed = F.from_csv(F.col(line), ONTIME_KEPT_SCHEMA.simpleString(), _CSV_READ)
-    return lines.select(parsed.alias("_r")).select("_r.*")
+    """CSV lines in the kept layout -> raw string columns, faults and raw lines (then ``parse_flights``)."""
+    return records(lines, ONTIME_KEPT_SCHEMA, line)
 
 
 def write_messages_kafka(messages: DataFrame, servers: str, topic: str,

@@ -77,7 +77,7 @@ def test_filtered_csv_roundtrip_keeps_every_row(spark, tmp_path):
     write_csv(kept.repartition(3), out)
     back = read_flights_csv(spark, out)               # headerless files: nothing skipped
     assert back.count() == kept.count() == 8
-    assert rows(back.drop("reject_reason")) == rows(parse_flights(kept).drop("reject_reason"))
+    assert rows(back.drop("reject_reason", "raw_line")) == rows(parse_flights(kept).drop("reject_reason"))
     # a lone quote code survives the write as the quoted form and reads back as null
     by = {r.flight_num: r for r in accepted(back).collect()}
     assert by[7].cancellation_code is None
@@ -144,3 +144,73 @@ def test_text_scan_and_export_import(spark, tmp_path):
     export_table(top, ["origin", "airlineid", "depdelay", "rank"], exp)
     back = import_table(spark, "origin string, airlineid long, depdelay double, rank int", exp)
     assert rows(back) == rows(top, "origin", "airlineid", "depdelay", "rank")
+
+
+FAULTS = {  # of lines with four fields
+    "a,b,c,d": None, ",,,": None, 'a,"b,c",d,"e"': None, '"","x ""y"" z",,""""': None, "a,b,c,d,": None, "a,b,c,d,,": None,
+    'a,b,c,d,""': None, "a,b,c": "short", "": None, "abc": "short", '"a,b,c,d"': "short", "a,b,c,d,e": "long",
+    "a,b,c,d,,e": "long", 'a,b,c,d,"e"': "long", 'a,"b,c,d': "quotes", 'a,b"c,d,e': "quotes", 'a,"b"c,d,e': "quotes",
+    'a,"b" ,c,d': "quotes", 'a,b,c,"': "quotes", 'a,""b,c,d': "quotes", 'a,"b""","c"",d': "quotes",
+}
+
+
+def test_faults_of_lines(spark):
+    from pyspark.sql import functions as F
+    from skyroute.sources.records import line_fault
+    df = spark.createDataFrame([(k, v) for k, v in FAULTS.items() if k], "line string, want string")
+    got = {r.line: r.got for r in df.select("line", line_fault(F.col("line"), 4).alias("got")).collect()}
+    assert got == {k: v for k, v in FAULTS.items() if k}
+    long = '"' + "x" * 200_000 + '""' * 50_000 + '",b,c,d'
+    one = spark.createDataFrame([(long,)], "line string")
+    assert one.select(line_fault(F.col("line"), 4)).first()[0] is None
+
+
+def test_malformed_lines_are_rejected_everywhere(spark, tmp_path):
+    """Scan, text scan, messages, the load job's table and a stream: the same faults, with the line."""
+    from skyroute.sources.csv import read_flights_text
+    from skyroute.sources.messages import flights_from_lines
+    from skyroute.streaming import running as R
+    from skyroute.streaming.sources import stream_source
+    src = tmp_path / "raw"
+    src.mkdir()
+    write_raw_ontime(src / "p.csv")
+    good = accepted(parse_flights(filter_ontime(read_ontime_raw(spark, str(src)))))
+    kept = str(tmp_path / "kept")
+    write_csv(filter_ontime(read_ontime_raw(spark, str(src))).where("flight_num = '1'"), kept)
+    line = "".join(open(f).read() for f in map(str, (tmp_path / "kept").glob("part-*.csv"))).strip()
+    bad = {line.rsplit(",", 1)[0]: "short", line + ",XXXX,YY": "long", line.replace("ORD", 'O"RD'): "quotes"}
+    (tmp_path / "kept" / "bad.csv").write_text("\n".join([*bad, "", line + ","]) + "\n")
+    want = sorted((v, k) for k, v in bad.items())
+    messages = spark.createDataFrame([("\n".join(bad),)], "value string")
+    from skyroute.sources.messages import lines_from_messages
+    for parsed, n_good in ((read_flights_csv(spark, kept), 2), (read_flights_text(spark, kept), 2),
+                           (parse_flights(flights_from_lines(lines_from_messages(messages))), 0)):
+        assert rows(rejected(parsed), "reject_reason", "raw_line") == want
+        assert accepted(parsed).count() == n_good and "raw_line" not in accepted(parsed).columns
+    out = str(tmp_path / "rejects")
+    lines = stream_source(spark, "text", kept).withColumnRenamed("value", "line")
+    R.run(R.per_batch(lines, lambda b: rejected(parse_flights(flights_from_lines(b))), out, str(tmp_path / "ck")))
+    assert rows(spark.read.parquet(out), "reject_reason", "raw_line") == want
+    # the archive layout, as the load job reads it
+    wide = (src / "p.csv").read_text().splitlines()[1]
+    (src / "bad.csv").write_text(wide + ",,\n" + wide + ",z\n" + wide[:-3] + "\n")
+    ingest_ontime(spark, str(src), str(tmp_path / "typed"))
+    assert read_ingested(spark, str(tmp_path / "typed")).count() == good.count() + 1
+    faults = read_ingested(spark, str(tmp_path / "typed"), "rejected").where("reject_reason in ('long', 'short')")
+    assert rows(faults, "reject_reason", "raw_line") == [("long", wide + ",z"), ("short", wide[:-3])]
+
+
+def test_files_of_the_load_follow_their_size(spark, tmp_path):
+    """One file or few for a year, however many tasks read the input."""
+    src = tmp_path / "raw"
+    src.mkdir()
+    for i in range(6):
+        write_raw_ontime(src / f"part{i}.csv")
+    out = tmp_path / "typed"
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")  # a task for each file
+    try:
+        ingest_ontime(spark, str(src), str(out))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(list((out / "status=ok" / "year=2008").glob("*.parquet"))) == 1
+    assert read_ingested(spark, str(out)).count() == 30
