@@ -29,7 +29,7 @@ from skyroute.operators.flights import accepted, parse_flights
 from skyroute.plans import questions as q
 from skyroute.sources import csv as csvsrc
 from skyroute.session import cluster_session, get_spark, scratch_path
-from skyroute.sources.ingest import ARCHIVE_LINE_SCHEMA, archive_errors, archive_lines, write_text_chunks
+from skyroute.sources.ingest import archive_errors, archive_lines, write_text_chunks
 from skyroute.sources.messages import (
     DEFAULT_CHUNK, flights_from_lines, lines_from_messages, to_messages, with_positions,
     write_messages_kafka,
@@ -183,10 +183,7 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
     spark = _session(args)
     if args.job == "unzip":
-        # written once, so that no archive is read a second time for its errors
-        path = scratch_path(spark, "archive-lines")
-        archive_lines(spark, args.input).write.parquet(path)
-        lines = spark.read.schema(ARCHIVE_LINE_SCHEMA).parquet(path)
+        lines = archive_lines(spark, args.input)
         write_text_chunks(lines, args.output, args.lines_per_file)
         archive_errors(lines).write.mode("overwrite").json(args.output + "_errors")
     elif args.job == "load":
@@ -203,9 +200,8 @@ def main(argv=None) -> None:
         lookup(spark, args.table, order=args.order, limit=args.limit, **key).show(
             args.show or 20, truncate=False)
     elif args.job == "produce":
-        lines = spark.read.option("recursiveFileLookup", "true").text(args.input) \
-            .withColumnRenamed("value", "line")
-        msgs = to_messages(with_positions(lines), 1 if args.line else args.chunk)
+        lines = with_positions(csvsrc.read_lines(spark, args.input), scratch_path(spark, "lines"))
+        msgs = to_messages(lines, 1 if args.line else args.chunk)
         write_messages_kafka(msgs, args.servers, args.topic)
     elif args.job == "stream":
         run_stream(spark, args)

@@ -3,34 +3,42 @@
 * ``list_input_files``: recursive listing as a DataFrame (path, length);
   Spark's file index already hides ``_*`` / ``.*`` entries (``_SUCCESS``,
   ``_temporary``); a producer's listing leaves out empty files.
-* ``archive_lines``: every ``.csv`` member of every ``.zip`` (in any case)
-  under a root as lines, ``.html`` ignored, other file types refused. Every
-  archive's members are read through once before a line is emitted, so a
-  corrupt archive (also an empty one) gives one row with an ``error`` and no
-  lines. Storage errors are not corruption: they fail the task, which Spark
-  retries.
+* ``archive_members``: the members of every ``.zip`` (in any case) under a
+  root, from the archives' directories, which tasks read; ``.html`` is
+  ignored, other file types are refused.
+* ``stage_archives``: every ``.csv`` member's lines, stored in one pass. A task
+  takes members, not archives, so a large archive is read by several tasks;
+  each member is decompressed once, its checksum tested as its lines go by.
+* ``archive_lines``: the lines of the archives without a fault. A staged
+  archive counts only if none of its members failed, so a corrupt archive
+  (also an empty one) gives one row with an ``error`` and no lines. Storage
+  errors are not corruption: they fail the task, which Spark retries.
 * ``write_text_chunks``: gzip text files of at most N lines each.
 * ``first_file_per_directory`` / ``first_file_per_listing_group``: one file
   per directory, from a file source or from a listing's line order.
 
-Archives are spread over tasks by Spark's file listing (split by size); each
-task opens its own archives through Arrow's filesystem layer (a zip is not
-splittable but is seekable, so members stream out) and emits lines in
-bounded Arrow batches. Archive bytes never sit in a DataFrame row, so there
-is no per-file size limit and no batch of many whole archives in memory.
+Spark's file index lists the archives; tasks open them through Arrow's
+filesystem layer (a member's stream is not splittable, but a zip is seekable) and
+emit lines in bounded Arrow batches. Archive bytes never sit in a DataFrame row, so
+there is no per-file size limit and no batch of many whole archives in memory.
 """
 
 from __future__ import annotations
 
 import io
+import os
 import zipfile
 import zlib
 from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyroute.session import scratch_path
+
 # Extensions the ingest understands.
 ARCHIVE_EXTENSIONS = (".zip",)
 IGNORED_EXTENSIONS = (".html",)
@@ -39,6 +47,8 @@ LINES_PER_CHUNK = 1_000_000
 
 ARCHIVE_LINE_SCHEMA = "archive string, member string, line_no long, line string, error string"
 _OUT_BATCH = 10_000
+#: Compressed bytes of the members that one task reads.
+TASK_BYTES = 64 << 20
 
 
 # What a damaged archive raises while its members are read.
@@ -55,70 +65,83 @@ def list_input_files(spark: SparkSession, root: str) -> DataFrame:
     return r.load(root).select("path", "length", "modificationTime").filter(F.col("length") > 0)
 
 
-def empty_archives(spark: SparkSession, root: str) -> list[str]:
-    """Paths of the empty archives below ``root``, from the file system's listing;
-    only they, which are faults, reach Python's list."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    out = []
-    while files.hasNext():
-        f = files.next()
-        name = f.getPath().getName()
-        if f.getLen() == 0 and name.lower().endswith(ARCHIVE_EXTENSIONS) and name[0] not in "._":
-            out.append(f.getPath().toString())
-    return out
-
-
-def _ext(path_col) -> F.Column:
-    return F.lower(F.regexp_extract(path_col, r"(\.[^./]*)$", 1))
-
-
-def check_archive_types(files: DataFrame) -> None:
-    """Raise when a file is neither an archive nor an ignored type (probe of one row)."""
-    known = list(ARCHIVE_EXTENSIONS) + list(IGNORED_EXTENSIONS)
-    bad = files.filter(~_ext(F.col("path")).isin(known)).select("path").limit(1).collect()
-    if bad:
-        raise ValueError(f"unsupported input file type: {bad[0]['path']}")
-
-
 def _open_input(path: str):
     """Seekable handle on a file URI (local, HDFS, object stores) via Arrow's
     filesystems, opened inside the task: archive bytes never travel in rows."""
     from pyarrow import fs as pafs
     if path.startswith("file:") and not path.startswith("file://"):
         path = "file://" + path[len("file:"):]
-    filesystem, inner = pafs.FileSystem.from_uri(path)
+    filesystem, inner = pafs.FileSystem.from_uri(quote(path, safe="/:@"))
     return filesystem.open_input_file(inner)
 
 
-def _fault(path: str) -> str | None:
-    """What is wrong with an archive, read through once (members' checksums included)."""
-    try:
-        with _open_input(path) as handle, zipfile.ZipFile(handle) as zf:
-            bad = zf.testzip()
-            return f"BadZipFile: wrong checksum in {bad}" if bad else None
-    except CORRUPT as e:
-        return f"{type(e).__name__}: {e}"
+@contextmanager
+def _archive(path: str):
+    """An open archive; files too small to be one (such as empty ones) are corrupt archives."""
+    with _open_input(path) as handle:
+        if handle.size() < zipfile.sizeEndCentDir:
+            raise zipfile.BadZipFile(f"a file of {handle.size()} bytes is no zip file")
+        with zipfile.ZipFile(handle) as zf:
+            yield zf
 
 
-def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def archive_paths(spark: SparkSession, root: str, check_types: bool = True) -> DataFrame:
+    """(archive): the ``.zip`` files below ``root``, empty ones included, from Spark's own (parallel) file index.
+
+    Raises when a file is neither an archive nor an ignored type.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # the names that the index holds on the driver anyway; a scan would leave out empty files
+    paths = listed.inputFiles()
+    kind = {p: os.path.splitext(p)[1].lower() for p in paths}
+    if check_types and (bad := [p for p in paths if kind[p] not in ARCHIVE_EXTENSIONS + IGNORED_EXTENSIONS]):
+        raise ValueError(f"unsupported input file type: {bad[0]}")
+    zips = [(unquote(p),) for p in paths if kind[p] in ARCHIVE_EXTENSIONS]
+    tasks = max(1, min(len(zips), 4 * spark.sparkContext.defaultParallelism))
+    return spark.createDataFrame(zips, "archive string").repartition(tasks, "archive")
+
+
+def archive_members(archives: DataFrame) -> DataFrame:
+    """(archive, member, bytes, error): one row per ``.csv`` member, or per archive whose directory can't be read."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found: list[tuple] = []
+            for path in pdf["archive"]:
+                try:
+                    with _archive(path) as zf:
+                        found += [(path, i.filename, i.compress_size, None) for i in zf.infolist()
+                                  if not i.is_dir() and i.filename.lower().endswith(MEMBER_EXTENSION)]
+                except CORRUPT as e:
+                    found.append((path, None, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(found, columns=["archive", "member", "bytes", "error"])
+
+    return archives.mapInPandas(run, "archive string, member string, bytes long, error string")
+
+
+def _member_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of the members; a member that fails ends with a row that has an ``error``."""
     buf: list[tuple] = []
+    at, opened = None, ExitStack()
     for pdf in batches:
-        for path in pdf["path"]:
-            if fault := _fault(path):
+        for path, member, fault in zip(pdf["archive"], pdf["member"], pdf["error"], strict=True):
+            if member is None:
                 buf.append((path, None, None, None, fault))
                 continue
-            with _open_input(path) as handle, zipfile.ZipFile(handle) as zf:
-                for info in zf.infolist():
-                    if info.is_dir() or not info.filename.lower().endswith(MEMBER_EXTENSION):
-                        continue
-                    with zf.open(info) as raw:
-                        text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-                        for i, line in enumerate(text):
-                            buf.append((path, info.filename, i, line.rstrip("\r\n"), None))
-                            if len(buf) >= _OUT_BATCH:
-                                yield pd.DataFrame(buf, columns=_COLS)
-                                buf = []
+            try:
+                if path != at:
+                    opened.close()
+                    at, zf = None, opened.enter_context(_archive(path))
+                    at = path
+                with zf.open(member) as raw:
+                    text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
+                    for i, line in enumerate(text):
+                        buf.append((path, member, i, line.rstrip("\r\n"), None))
+                        if len(buf) >= _OUT_BATCH:
+                            yield pd.DataFrame(buf, columns=_COLS)
+                            buf = []
+            except CORRUPT as e:
+                buf.append((path, member, None, None, f"{type(e).__name__}: {e}"))
+    opened.close()
     if buf:
         yield pd.DataFrame(buf, columns=_COLS)
 
@@ -126,21 +149,37 @@ def _unzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _COLS = ["archive", "member", "line_no", "line", "error"]
 
 
-def archive_lines(spark: SparkSession, root: str, check_types: bool = True) -> DataFrame:
-    """Lines of the ``.csv`` members of all ``.zip`` archives below ``root``.
+def stage_archives(spark: SparkSession, root: str, path: str, check_types: bool = True,
+                   task_bytes: int = TASK_BYTES) -> None:
+    """Store the lines of all members of all archives below ``root``, and the faults, at ``path``: one pass.
 
-    The listing (paths and sizes only; contents are not read) is split into
-    tasks by file size, and every task opens and unzips its own archives.
+    Members are dealt to tasks of about ``task_bytes`` compressed bytes, those of an archive side by side.
     """
-    files = list_input_files(spark, root)
-    if check_types:
-        check_archive_types(files)
-    zips = files.filter(_ext(F.col("path")).isin(*ARCHIVE_EXTENSIONS)).select("path")
-    lines = zips.mapInPandas(_unzip_batches, ARCHIVE_LINE_SCHEMA)
-    if empty := empty_archives(spark, root):
-        faults = [(p, None, None, None, "BadZipFile: the file is empty") for p in empty]
-        lines = lines.unionByName(spark.createDataFrame(faults, ARCHIVE_LINE_SCHEMA))
-    return lines
+    found = scratch_path(spark, "archive-members")
+    archive_members(archive_paths(spark, root, check_types)).write.parquet(found)
+    members = spark.read.parquet(found)
+    total, n = members.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
+    tasks = max(1, min(n, -(-total // task_bytes)))
+    (members.repartitionByRange(tasks, "archive", "member").sortWithinPartitions("archive", "member")
+            .select("archive", "member", "error").mapInPandas(_member_lines, ARCHIVE_LINE_SCHEMA).write.parquet(path))
+
+
+def staged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """What counts of staged archives: the lines of archives without a fault, and one row with the (first)
+    ``error`` for each of the others."""
+    staged = spark.read.schema(ARCHIVE_LINE_SCHEMA).parquet(path)
+    faults = (staged.where(F.col("error").isNotNull()).groupBy("archive")
+                    .agg(F.min_by("error", F.coalesce("member", F.lit(""))).alias("error")))
+    whole = staged.where(F.col("error").isNull()).join(faults.select("archive"), "archive", "left_anti")
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("member", "string"), ("line_no", "long"), ("line", "string"))]
+    return whole.select(*_COLS).unionByName(faults.select("archive", *nothing, "error"))
+
+
+def archive_lines(spark: SparkSession, root: str, check_types: bool = True) -> DataFrame:
+    """Lines of the ``.csv`` members of all sound ``.zip`` archives below ``root``, staged in the scratch folder."""
+    path = scratch_path(spark, "archive-lines")
+    stage_archives(spark, root, path, check_types)
+    return staged_lines(spark, path)
 
 
 def write_text_chunks(lines: DataFrame, out: str, lines_per_file: int = LINES_PER_CHUNK,
