@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyroute.session import scratch_path
+
 
 def _order(spec: Sequence) -> list[Column]:
     """Order spec: column names (ascending), Columns, or (name, 'desc') pairs."""
@@ -58,39 +60,64 @@ def best_by(df: DataFrame, keys: Sequence[str] | str, order: Sequence) -> DataFr
               .filter(F.col("_pos") == 1).drop("_pos"))
 
 
-def rank_with_ties(df: DataFrame, value: str, rank: str = "rank",
-                   descending: bool = True, buckets_per_octave: int = 32) -> DataFrame:
+_ROW = "_row"  # range partition << 33 | position in it
+
+
+def _in_order(df: DataFrame, order: Sequence[Column], path: str | None) -> tuple[DataFrame, DataFrame]:
+    """``df`` written once in range partitions, sorted, with each row's place in ``_row``; and the partitions' places.
+
+    Spark takes the boundaries from a sample of the order keys' values, so partitions are of like size
+    wherever the values lie, and puts NaN, infinities and nulls where its sort does. The rows are
+    stored because a second run of the range shuffle could cut elsewhere.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = path or scratch_path(spark, "ordered")
+    (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+       .withColumn(_ROW, F.monotonically_increasing_id()).write.parquet(path))
+    stored = spark.read.parquet(path)
+    return stored, F.shiftright(_ROW, 33)
+
+
+def _starts(rows: DataFrame, weight: Column) -> DataFrame:
+    """(_part, _start): the weight before each range partition; one row for each shuffle partition at most."""
+    totals = rows.groupBy(F.shiftright(_ROW, 33).alias("_part")).agg(F.sum(weight).alias("_w"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("_part", F.coalesce(F.sum("_w").over(before), F.lit(0)).cast("long").alias("_start"))
+
+
+def number_rows(df: DataFrame, order: Sequence, name: str = "row_number", path: str | None = None) -> DataFrame:
+    """Total order: every row's 1-based number under ``order`` (a full tie-break, or equal rows share their numbers
+    in any order), without a window over the whole table.
+
+    Rows are range-partitioned and sorted, numbered inside their partition, and each partition starts
+    after the rows of those before it. ``path`` keeps the sorted rows, else they go to the scratch folder.
+    """
+    rows, part = _in_order(df, _order(order), path)
+    starts = F.broadcast(_starts(rows, F.lit(1)))
+    number = F.col("_start") + F.col(_ROW).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.join(starts, part == F.col("_part")).select(*df.columns, number.alias(name))
+
+
+def rank_with_ties(df: DataFrame, value: str, rank: str = "rank", descending: bool = True) -> DataFrame:
     """Competition rank (1, 2, 2, 4) of every row by ``value`` without one big task.
 
     rank(v) = 1 + number of rows whose value is strictly better. Steps:
       1. histogram of values (partial aggregate): one row per distinct value;
-      2. monotone bucket of each value (log scale) -> per-bucket totals,
-         a table whose size is fixed by the bucket rule, not by the data;
-      3. offset of each bucket = rows in better buckets (window over the
-         bucket table), joined back by broadcast (size bound above);
-      4. inside a bucket, a running sum over better values (window
-         partitioned by bucket);
+      2. distinct values in range partitions of like depth, sorted, stored;
+      3. offset of each partition = rows in better partitions (a table with one
+         row per shuffle partition, broadcast);
+      4. inside a partition, a running sum over better values;
       5. join the rank of each value back to the rows.
-    ``value`` is any number (counts, means); nulls rank last. The bucket
-    table has about 2 x 64 x ``buckets_per_octave`` rows at most for 64-bit
-    counts and 2 x 1024 x ``buckets_per_octave`` for doubles.
+    ``value`` is of any type that sorts, in Spark's order: NaN is the greatest,
+    nulls rank last either way.
     """
-    sign = -1.0 if descending else 1.0
+    by = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     hist = df.groupBy(value).agg(F.count(F.lit(1)).alias("_h"))
-    # monotone in the ordering direction: better value -> smaller bucket
-    v = F.col(value).cast("double")
-    logv = F.signum(v) * F.log2(F.abs(v) + F.lit(1.0))   # monotone over all reals
-    bucket = F.floor(F.lit(sign) * logv * F.lit(float(buckets_per_octave))).cast("long")
-    hist = hist.withColumn("_b", F.coalesce(bucket, F.lit(2**62)))
-    totals = hist.groupBy("_b").agg(F.sum("_h").alias("_bt"))
-    totals = totals.withColumn(
-        "_off", F.coalesce(F.sum("_bt").over(
-            Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    hist = hist.join(F.broadcast(totals.select("_b", "_off")), "_b")
-    inner = (Window.partitionBy("_b")
-             .orderBy(F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = hist.select(
+    rows, part = _in_order(hist, [by], None)
+    better = (Window.partitionBy("_part").orderBy(_ROW).rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumn("_part", part).join(F.broadcast(_starts(rows, F.col("_h"))), "_part")
+    ranks = placed.select(
         F.col(value).alias("_v"),
-        (F.lit(1) + F.col("_off") + F.coalesce(F.sum("_h").over(inner), F.lit(0))).cast("long").alias(rank))
+        (F.lit(1) + F.col("_start") + F.coalesce(F.sum("_h").over(better), F.lit(0))).cast("long").alias(rank))
     return df.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")

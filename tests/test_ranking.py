@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyroute.operators.aggregate import popularity
-from skyroute.operators.ranking import rank_with_ties, top_k, top_k_by
+from skyroute.operators.ranking import number_rows, rank_with_ties, top_k, top_k_by
 from tests.conftest import rows
 
 # Our own counts shaped like the tail of a real popularity table: a tie pair
@@ -61,3 +61,36 @@ def test_rank_with_ties_negative_and_fractional(spark):
         order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
         ref = rows(df.withColumn("rank", F.rank().over(Window.orderBy(order))), "k", "rank")
         assert ours == ref
+
+
+def test_rank_with_ties_in_sparks_order(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [(f"k{i}", v) for i, v in enumerate([-3.0, 1.0, inf, nan, None, -inf, 0.0, -0.0, nan, None, 1.0])]
+    df = spark.createDataFrame(data, "k string, v double")
+    for desc in (True, False):
+        order = F.col("v").desc_nulls_last() if desc else F.col("v").asc_nulls_last()
+        ref = rows(df.withColumn("rank", F.rank().over(Window.orderBy(order))), "k", "rank")
+        assert rows(rank_with_ties(df, "v", descending=desc), "k", "rank") == ref
+    asc = dict(rows(rank_with_ties(df.where("k < 'k5' and k <> 'k10'"), "v", descending=False), "k", "rank"))
+    assert asc == {"k0": 1, "k1": 2, "k2": 3, "k3": 4, "k4": 5}
+
+
+def test_ranks_of_crowded_values_are_spread_over_tasks(spark):
+    """A million distinct means between 5 and 6: range partitions by depth, not by magnitude."""
+    from skyroute.operators.ranking import _in_order
+    df = spark.range(1_000_000).select((5 + F.col("id") / 1_000_000).alias("v"))
+    stored, part = _in_order(df, [F.col("v").asc_nulls_last()], None)
+    sizes = [r["count"] for r in stored.groupBy(part.alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 1_000_000 / 8
+    ranked = rank_with_ties(df, "v", descending=False)
+    assert ranked.where("rank <> round((v - 5) * 1000000) + 1").isEmpty() and ranked.count() == 1_000_000
+
+
+def test_row_numbers_of_a_total_order(spark):
+    rnd = random.Random(3)
+    data = [(i, rnd.choice([None, 1.0, 2.0, float("nan"), -4.0]), rnd.choice("ab")) for i in range(2000)]
+    df = spark.createDataFrame(data, "id long, v double, s string").repartition(5)
+    order = [F.col("v").desc_nulls_last(), F.col("s"), F.col("id")]
+    ref = df.withColumn("row_number", F.row_number().over(Window.orderBy(*order)))
+    assert rows(number_rows(df, order), "id", "s", "row_number") == rows(ref, "id", "s", "row_number")
+    assert number_rows(df.limit(0), ["id"]).collect() == []
