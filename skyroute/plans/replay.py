@@ -43,7 +43,8 @@ def flight_line_streams(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
     streams of typed flights: message -> lines -> CSV fields -> parser."""
     def publish(path: str) -> None:
         lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)), "line")
-        msgs = to_messages(with_positions(lines), lines_per_message).select("value")
+        placed = with_positions(lines, scratch_path(spark, "flight-lines"))
+        msgs = to_messages(placed, lines_per_message).select("value")
         split_to_batches(msgs, path, F.pmod(F.crc32(F.col("value")), F.lit(n)))
     path = _published(spark, ("flights", sf_dir, n, lines_per_message), publish)
     return [accepted(parse_flights(flights_from_lines(lines_from_messages(s))))
@@ -51,9 +52,9 @@ def flight_line_streams(spark: SparkSession, sf_dir: str, n: int = N_BATCHES,
 
 
 def document_streams(spark: SparkSession, sf_dir: str, n: int = N_BATCHES) -> list[DataFrame]:
-    """``documents`` in ``n`` batches (doc_id mod n)."""
+    """``documents`` in ``n`` batches (doc_id mod n; rows without an id are in the first)."""
     def publish(path: str) -> None:
         docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-        split_to_batches(docs, path, F.pmod(F.col("doc_id"), F.lit(n)))
+        split_to_batches(docs, path, F.coalesce(F.pmod(F.col("doc_id"), F.lit(n)), F.lit(0)))
     path = _published(spark, ("documents", sf_dir, n), publish)
     return batch_streams(spark, path, n, "doc_id long, text string, batch int")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from skyroute.streaming.running import trigger_kw
 
@@ -15,22 +15,25 @@ _STOPPED = "stopped after the marker batch"
 
 def run_until_marker(stream: DataFrame, is_marker: Column,
                      sink: Callable[[DataFrame, int], None], checkpoint: str,
-                     trigger: str | None = "available_now") -> StreamingQuery:
+                     trigger: str | None = "available_now") -> bool:
     """Process micro-batches with ``sink``; the batch holding a row matching
     ``is_marker`` is processed in full and committed, then the query stops.
     A later batch that begins meanwhile is refused by an error, so Spark does
     not commit it and a restart takes it up again.
 
-    The marker check is a ``limit(1)`` probe on the micro-batch (reads at most
-    one matching row), not a collect of the batch.
+    Whether a batch holds a marker is observed while ``sink`` writes it, by a
+    metric of the batch's rows: the source is read once. ``sink`` must run an
+    action that reads the whole batch; of several, the first is observed.
+    Returns whether a marker was met.
     """
     marked: list[int] = []
 
     def fb(b: DataFrame, i: int) -> None:
         if marked:
             raise RuntimeError(_STOPPED)
-        sink(b, i)
-        if b.filter(is_marker).limit(1).count() > 0:
+        seen = Observation()
+        sink(b.observe(seen, F.max(is_marker.cast("int")).alias("marker")), i)
+        if seen.get.get("marker"):
             marked.append(i)
 
     q = (stream.writeStream.foreachBatch(fb).option("checkpointLocation", checkpoint)
@@ -49,4 +52,10 @@ def run_until_marker(stream: DataFrame, is_marker: Column,
             raise error
     finally:
         q.stop()
-    return q
+    return bool(marked)
+
+
+def drain_until_marker(streams: Sequence[DataFrame], is_marker: Column, sink: Callable[[DataFrame, int], None],
+                       checkpoint: str) -> bool:
+    """Run the input batches in turn (one checkpoint); those after the one with the marker are not opened."""
+    return any(run_until_marker(s, is_marker, sink, checkpoint) for s in streams)

@@ -2,7 +2,7 @@
 
 Global rankings (Q1.1, Q1.2) are rebuilt from a bounded aggregate (one row per airport or
 airline) and written as versions of a snapshot; per-origin rankings (Q2.1-Q2.3) are kept
-up to date for the touched origins, in a table partitioned by origin.
+up to date for the touched origins, in a keyed table split by origin.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skyroute.operators.aggregate import popularity
 from skyroute.operators.lookup import with_names
 from skyroute.operators.ranking import top_k, top_k_by
+from skyroute.sources.keyed import KeyedTable
 from skyroute.streaming import running as R
 
 #: question -> (aggregate keys, metric, their published names, name of the mean, group, name of the airline)
@@ -57,4 +58,4 @@ def stream_question(question: str, flights: DataFrame, names: DataFrame | None,
 
 def read_answer(spark: SparkSession, question: str, out: str) -> DataFrame:
     """The table that ``stream_question`` keeps up to date."""
-    return spark.read.parquet(out) if question in _RANKED else R.read_snapshot(spark, out)
+    return KeyedTable.open(spark, out).read() if question in _RANKED else R.read_snapshot(spark, out)

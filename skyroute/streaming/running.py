@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skyroute.sources.keyed import DEFAULT_BUCKETS, KeyedTable, bucket_of
 from skyroute.sources.versions import current_version, point_to, remove
 
 BATCH = "batch_id"
@@ -42,9 +43,12 @@ def trigger_kw(trigger: str | None) -> dict:
     return {"processingTime": trigger}
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
-    """Idempotent per-batch write: replaces only this batch's folder."""
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = (),
+                files: int | None = None) -> None:
+    """Idempotent per-batch write: replaces only this batch's folder (``files``: into so many files at most,
+    for results that are small by their nature)."""
     out = df.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    out = out.coalesce(files) if files else out
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH, *partition_cols).parquet(path))
 
@@ -165,9 +169,9 @@ def seeded(counts: DataFrame, seed: DataFrame, keys: Sequence[str] | str,
 # -- per-batch (stateless) aggregate -----------------------------------------
 
 def per_batch(stream: DataFrame, fn: Callable[[DataFrame], DataFrame], out_path: str,
-              checkpoint: str, trigger: str | None = "available_now") -> StreamingQuery:
+              checkpoint: str, trigger: str | None = "available_now", files: int | None = None) -> StreamingQuery:
     """Apply a batch transformation to each micro-batch on its own (no state)."""
-    return start(stream, lambda b, i: write_batch(fn(b), out_path, i), checkpoint, "append", trigger)
+    return start(stream, lambda b, i: write_batch(fn(b), out_path, i, files=files), checkpoint, "append", trigger)
 
 
 # -- running means and their ranked snapshots -------------------------------
@@ -206,38 +210,22 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 # -- incremental per-group rankings -------------------------------------------
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A table that may not exist yet (first micro-batch): empty with ``schema``."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
-
-
-def overwrite_partitions(df: DataFrame, path: str, cols: Sequence[str] | str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*_keys(cols)).parquet(path))
-
-
 def incremental_ranked(agg: DataFrame, part_col: str, keys: Sequence[str],
                        derive: Callable[[DataFrame], DataFrame], state_path: str,
                        out_path: str, checkpoint: str,
-                       trigger: str | None = "available_now") -> StreamingQuery:
+                       trigger: str | None = "available_now", buckets: int = DEFAULT_BUCKETS) -> StreamingQuery:
     """Per-group ranked table kept up to date for the touched groups only.
 
     ``agg`` is a streaming aggregate run in update mode, so each micro-batch
     holds only the keys it changed, with their running values. They are
-    merged into a table of all aggregate rows partitioned by ``part_col``
-    (e.g. origin), for the touched partitions only. ``derive`` then ranks
-    the full rows of those partitions, and the result overwrites the same
-    partitions of ``out_path``. Per-batch cost follows the touched groups,
-    not the number of keys: the touched groups are semi-joined by the
-    partition column, null included.
+    upserted into a keyed table of all aggregate rows that is split into
+    hash buckets of ``part_col`` (e.g. origin); only the buckets of the
+    touched groups are opened (static folder names). ``derive`` then ranks the
+    rows of those buckets, which become the buckets' new contents in the keyed
+    table at ``out_path``. Per-batch cost follows the touched buckets, not the
+    number of keys, and readers of either table see whole batches only. A
+    replayed batch puts the same running values in again.
     """
-    keys = list(keys)
-
     def sink(batch: DataFrame, batch_id: int) -> None:
         changed = batch.persist()
         try:
@@ -245,15 +233,11 @@ def incremental_ranked(agg: DataFrame, part_col: str, keys: Sequence[str],
             if changed.isEmpty():
                 return
             # null is a group of its own, as in the batch form
-            touched = changed.select(F.col(part_col).alias("_touched")).distinct()
-            new = changed.select(*[F.col(c).alias(f"_{c}") for c in keys])
-            keep = (read_or_empty(spark, state_path, changed.schema)
-                    .join(touched, F.col(part_col).eqNullSafe(F.col("_touched")), "left_semi")
-                    .join(new, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys], "left_anti"))
-            # the merge reads the partitions it replaces: materialise it first
-            merged = keep.unionByName(changed).checkpoint(eager=True)
-            overwrite_partitions(merged, state_path, part_col)
-            overwrite_partitions(derive(merged), out_path, part_col)
+            part = bucket_of([part_col], buckets)
+            state = KeyedTable(spark, state_path, changed.schema, keys, part)
+            touched = state.upsert(changed)
+            ranked = derive(state.read(touched))
+            KeyedTable(spark, out_path, ranked.schema, [part_col], part).replace(ranked, touched)
         finally:
             changed.unpersist()
 

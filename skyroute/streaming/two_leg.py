@@ -9,8 +9,8 @@ cannot change a minimum. Two sinks:
   is rebuilt from all best legs, a table bounded by the route-day domain.
   Simple; fine for small inputs.
 * ``stream_two_leg_incremental`` (update mode): only the changed best legs
-  are merged into a month-partitioned leg table, and trips are recomputed
-  for the touched start months only.
+  are upserted into a keyed leg table split by month, and trips are recomputed
+  for the touched start months only. Both tables are published whole.
 """
 
 from __future__ import annotations
@@ -23,9 +23,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skyroute.operators.flights import trip_ready
 from skyroute.operators.trips import LEG_COLS, LEG_ORDER, NOON, trips_from_sided
-from skyroute.streaming.running import overwrite_partitions, read_or_empty, snapshot
+from skyroute.sources.keyed import KeyedTable, month_of
+from skyroute.streaming.running import snapshot, start
 
 _KEY = ("flight_date", "origin", "dest")
+TRIP_KEY = ("start_date", "origin1", "dest1", "dest2")
 
 
 def best_leg_state(flights: DataFrame, year: int) -> DataFrame:
@@ -72,20 +74,17 @@ def stream_two_leg_incremental(flights: DataFrame, year: int, legs_path: str, tr
     """Two-leg trips maintained per touched month.
 
     State emits only the leg keys whose best flight changed in the batch
-    (update mode). The best-leg table, partitioned by month, is merged for
-    the touched months only. Trips are recomputed only for start months
+    (update mode). The best-leg table, a keyed table split by month, opens and
+    replaces the touched months only. Trips are recomputed only for start months
     holding a changed first leg, or the date ``gap`` days before a changed
-    second leg, and written by dynamic partition overwrite of those months.
+    second leg, and become those months' contents in the keyed trip table.
     Per-batch cost follows the months a batch touches, not the whole table;
-    a stream in date order touches one or two.
+    a stream in date order touches one or two. Readers see whole batches.
     """
-    from skyroute.streaming.running import start
-
     def sink(changed_state: DataFrame, batch_id: int) -> None:
         # used several times below: keep the batch (changed keys only) rather
         # than re-running source, parse and state read for every use
-        changed = (changed_state.select("side", *_KEY, "best.*")
-                   .withColumn("leg_month", _month("flight_date")).persist())
+        changed = changed_state.select("side", *_KEY, "best.*").persist()
         try:
             _merge_and_rebuild(changed)
         finally:
@@ -93,32 +92,24 @@ def stream_two_leg_incremental(flights: DataFrame, year: int, legs_path: str, tr
 
     def _merge_and_rebuild(changed: DataFrame) -> None:
         spark = changed.sparkSession
-        schema = changed.schema
         # months touched by one batch: a set bounded by the calendar (at most
-        # 12 per year of data in the batch), used as static partition filters
-        months = sorted({r[0] for r in changed.select("leg_month").distinct().collect()})
+        # 12 per year of data in the batch), used as static folder names
+        months = sorted({r[0] for r in changed.select(_month("flight_date")).distinct().collect()})
         if not months:
             return
         # a changed second leg belongs to trips that start ``gap_days`` earlier
         gap = _dt.timedelta(days=gap_days)
         trip_months = sorted({x for m in months for x in _months(m - gap, m)})
-
-        old = read_or_empty(spark, legs_path, schema)
-        keep = (old.filter(F.col("leg_month").isin(months))
-                   .join(changed.select(*[F.col(c).alias(f"_{c}") for c in ("side", *_KEY)]),
-                         [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("side", *_KEY)], "left_anti"))
-        # the merge reads the partitions it replaces: materialise it first
-        merged = keep.unionByName(changed).checkpoint(eager=True)
-        overwrite_partitions(merged, legs_path, "leg_month")
-
+        table = KeyedTable(spark, legs_path, changed.schema, ("side", *_KEY), month_of("flight_date"))
+        table.upsert(changed)
         # legs of the trip months and of the months of their second legs
         need = sorted({x for m in trip_months
                        for x in _months(m, _next_month(m) - _dt.timedelta(days=1) + gap)})
-        legs = (read_or_empty(spark, legs_path, schema)
-                .filter(F.col("leg_month").isin(need)).drop("leg_month"))
-        trips = (trips_from_sided(legs, gap_days)
-                 .withColumn("start_month", _month("start_date"))
-                 .filter(F.col("start_month").isin(trip_months)))
-        overwrite_partitions(trips, trips_path, "start_month")
+        trips = trips_from_sided(table.read(_named(need)), gap_days)
+        KeyedTable(spark, trips_path, trips.schema, TRIP_KEY, month_of("start_date")).replace(trips, _named(trip_months))
 
     return start(best_leg_state(flights, year), sink, checkpoint, "update", trigger)
+
+
+def _named(months: list) -> list[str]:
+    return [m.strftime("%Y-%m") for m in months]

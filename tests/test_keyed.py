@@ -1,0 +1,153 @@
+"""Keyed tables: upserts by primary key, published whole, touched parts only."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyroute.sources import keyed
+from skyroute.sources.keyed import KeyedTable, bucket_of, month_of
+from skyroute.sources.tables import lookup
+from skyroute.sources.versions import create_text, current_version, read_text
+from tests.conftest import rows
+
+SCHEMA = "origin string, carrier long, mean double"
+
+
+def _frame(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def _table(spark, tmp_path, buckets=8):
+    schema = _frame(spark, []).schema
+    return KeyedTable(spark, str(tmp_path / "t"), schema, ["origin", "carrier"], bucket_of(["origin"], buckets))
+
+
+def test_upsert_keeps_other_rows_of_a_part(spark, tmp_path):
+    t = _table(spark, tmp_path, buckets=2)
+    t.upsert(_frame(spark, [(f"A{i}", c, float(i)) for i in range(20) for c in (1, 2)] + [(None, 1, 0.5)]))
+    t.upsert(_frame(spark, [("A3", 1, -3.0), ("A99", 7, 9.0), (None, 1, 0.25), ("A4", None, 4.0)]))
+    got = {(o, c): m for o, c, m in map(tuple, t.read().collect())}
+    assert len(got) == 43 and got["A3", 1] == -3.0 and got["A3", 2] == 3.0 and got[None, 1] == 0.25 and got["A4", None] == 4.0
+    t.upsert(_frame(spark, [("A4", None, 5.0)]))  # a null key is a key like others
+    assert t.read().where("origin = 'A4' and carrier is null").first()["mean"] == 5.0 and t.read().count() == 43
+    again = KeyedTable.open(spark, t.path)
+    assert rows(again.read()) == rows(t.read()) and again.keys == t.keys
+
+
+def test_readers_see_old_or_new(spark, tmp_path, monkeypatch):
+    t = _table(spark, tmp_path)
+    first = [(f"A{i}", 1, 1.0) for i in range(30)]
+    t.upsert(_frame(spark, first))
+    before = t.read()
+    seen = []
+    swap = keyed.point_to
+
+    def watched(s, path, version):  # everything of the new version is written, nothing is published
+        seen.append(rows(KeyedTable.open(s, path).read()))
+        swap(s, path, version)
+    monkeypatch.setattr(keyed, "point_to", watched)
+    t.upsert(_frame(spark, [(f"A{i}", 1, 2.0) for i in range(30)]))
+    assert seen == [rows(_frame(spark, first))]
+    # a reader that opened the table before the write still reads the version before
+    assert rows(before) == seen[0] and rows(t.read()) == [(f"A{i}", 1, 2.0) for i in sorted(range(30), key=str)]
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path, monkeypatch):
+    t = _table(spark, tmp_path)
+    t.upsert(_frame(spark, [("A", 1, 1.0), ("B", 1, 1.0)]))
+    want = rows(t.read())
+
+    def fail(*a):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(keyed, "point_to", fail)
+        with pytest.raises(OSError):
+            t.upsert(_frame(spark, [("A", 1, 5.0)]))
+    assert rows(t.read()) == want
+    t.upsert(_frame(spark, [("B", 1, 7.0)]))
+    assert rows(t.read()) == [("A", 1, 1.0), ("B", 1, 7.0)]
+
+
+def test_only_touched_parts_are_read_and_written(spark, tmp_path):
+    t = _table(spark, tmp_path, buckets=64)
+    t.upsert(_frame(spark, [(f"A{i}", 1, 1.0) for i in range(500)]))
+    touched = t.upsert(_frame(spark, [("A7", 1, 2.0), ("A8", 1, 2.0)]))
+    assert 1 <= len(touched) <= 2
+    versions = t.parts()
+    assert sorted(p for p, v in versions.items() if v == 1) == touched and len(versions) == 64
+    files = t.read(touched).inputFiles()
+    assert len(files) == len(touched) and all("/v=1/" in f for f in files)
+    # a replaced folder is deleted by the next write
+    folders = lambda: {d for d, _, _ in os.walk(tmp_path / "t" / "data") if "part=" in d}
+    n = len(folders())
+    t.upsert(_frame(spark, [("A7", 1, 3.0)]))
+    assert len(folders()) == n - len(touched) + 1
+
+
+def test_lookup_opens_one_part(spark, tmp_path):
+    t = _table(spark, tmp_path, buckets=64)
+    t.upsert(_frame(spark, [(f"A{i}", c, float(c)) for i in range(200) for c in (2, 1)]))
+    found = lookup(spark, t.path, order="carrier", origin="A5")
+    assert [tuple(r) for r in found.collect()] == [("A5", 1, 1.0), ("A5", 2, 2.0)]
+    assert len(t.lookup(origin="A5").inputFiles()) == 1
+    assert t.lookup(carrier=1).count() == 200 and t.lookup(origin="none").count() == 0
+
+
+def test_added_batches_count_once(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], "k string, n long").schema, ["k"], bucket_of(["k"]))
+    one = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n long")
+    with pytest.raises(ValueError, match="batch"):
+        t.upsert(one, add=["n"])
+    for batch in (0, 0, 1, 1, 0):
+        t.upsert(one, batch=batch, add=["n"])
+    assert rows(t.read()) == [("a", 2), ("b", 4)] and t.batch == 1
+
+
+def test_parts_of_the_calendar_and_emptied_parts(spark, tmp_path):
+    schema = "day date, v long"
+    t = KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["day"], month_of("day"))
+    day = dt.date
+    t.upsert(spark.createDataFrame([(day(2008, 1, 2), 1), (day(2008, 2, 3), 2)], schema))
+    assert sorted(t.parts()) == ["2008-01", "2008-02"]
+    t.replace(spark.createDataFrame([(day(2008, 2, 5), 3)], schema), ["2008-01", "2008-02"])
+    assert rows(t.read()) == [(day(2008, 2, 5), 3)] and list(t.parts()) == ["2008-02"]
+    assert t.read(["2008-01"]).count() == 0
+
+
+def test_small_files_are_created_once(spark, tmp_path):
+    path = str(tmp_path / "commits" / "0001")
+    os.makedirs(tmp_path / "commits")
+    assert create_text(spark, path, "first") and not create_text(spark, path, "second")
+    assert read_text(spark, path) == "first" and read_text(spark, path + "x") is None
+    assert [f for f in os.listdir(tmp_path / "commits") if not f.startswith(".")] == ["0001"]
+    assert current_version(spark, str(tmp_path)) is None
+
+
+def test_lookups_by_other_columns_skip_row_groups(spark, tmp_path):
+    """Sorted files and bloom filters: a lookup by destination or date reads few row groups of a partition."""
+    import pyarrow.parquet as pq
+    from skyroute.sources.tables import publish
+    df = spark.range(200_000).select(
+        F.lit("ORD").alias("origin"), F.concat(F.lit("D"), F.col("id") % 400).alias("dest"),
+        F.concat(F.lit("T"), F.crc32(F.col("id").cast("string").cast("binary"))).alias("tail"), "id")
+    path = str(tmp_path / "p")
+    publish(df, path, "origin", sort=["dest"], bloom=["tail"], row_group_bytes=64 << 10)
+    files = [os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    groups = [g for f in files for g in _groups(pq.ParquetFile(f).metadata)]
+    hit = [g for g in groups if g["dest"][0] <= "D250" <= g["dest"][1]]
+    assert len(groups) >= 8 and len(hit) <= 2
+    assert lookup(spark, path, order="id", dest="D250").count() == 500
+    tail = df.where("id = 123456").first()["tail"]
+    assert lookup(spark, path, order="id", tail=tail).first()["id"] == 123456
+    plain = str(tmp_path / "plain")
+    publish(df, plain, "origin", sort=["dest"], row_group_bytes=64 << 10)
+    size = lambda p: sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs)
+    assert size(path) > size(plain) + 100_000  # the filters are there
+
+
+def _groups(meta):
+    for g in range(meta.num_row_groups):
+        columns = [meta.row_group(g).column(c) for c in range(meta.num_columns)]
+        yield {c.path_in_schema: (c.statistics.min, c.statistics.max) for c in columns if c.statistics.has_min_max}
