@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyroute.operators.aggregate import tokens
+from skyroute.operators.aggregate import tokens, wordcount
 from skyroute.operators.flights import accepted, parse_flights
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q
@@ -19,9 +20,13 @@ from skyroute.sources.messages import (
     as_kept_layout, flights_from_lines, lines_from_messages, to_csv_lines, to_messages,
     with_positions,
 )
+from skyroute.sources.keyed import KeyedTable
 from skyroute.sources.tables import lookup, publish
+from skyroute.sources.versions import remove
 from skyroute.streaming import running as R
-from skyroute.streaming.partials import merge_partials, merge_partials_stream, stage_partials
+from skyroute.streaming.control import drain_until_marker
+from skyroute.streaming.partials import merge_partials, merge_partials_stream, read_merged, stage_partials
+from skyroute.streaming.recover import rebuild, state_rows
 from skyroute.streaming.questions import read_answer, stream_question
 from skyroute.streaming.two_leg import stream_two_leg_incremental as _stream_two_leg
 
@@ -40,7 +45,7 @@ def _dirs(spark, name):
 
 @register("stream_wordcount_batch", f"""
 select batch, word, count(*) as count from (
-  select doc_id % {N_BATCHES} as batch, unnest(string_split(text, ' ')) as word from documents)
+  select coalesce(doc_id % {N_BATCHES}, 0) as batch, unnest(string_split(text, ' ')) as word from documents)
 group by batch, word""")
 def stream_wordcount_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "wc-batch")
@@ -74,6 +79,56 @@ def stream_wordcount_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.current(spark, out, "word")
 
 
+@register("stream_restart", WORDCOUNT_SQL)
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running word counts whose driver is lost in every batch after its rows are written and before the batch is
+    committed; each restart takes the batch up again from the checkpoint."""
+    out, ck = _dirs(spark, "wc-restart")
+    for i, s in enumerate(document_streams(spark, sf_dir)):
+        counts = tokens(s, "text").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+        def lost(b: DataFrame, batch_id: int) -> None:
+            R.write_batch(b, out, batch_id)
+            raise RuntimeError("the driver is lost")
+        for sink in (lost, lambda b, batch_id: R.write_batch(b, out, batch_id)):
+            try:
+                R.run(R.start(counts, sink, ck))
+            except StreamingQueryException as e:
+                if "the driver is lost" not in str(e):
+                    raise
+    return R.current(spark, out, "word")
+
+
+@register("state_rebuild", WORDCOUNT_SQL)
+def state_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published word counts are lost halfway and written anew from the checkpointed state; the stream goes on."""
+    out, ck = _dirs(spark, "wc-state")
+    streams = document_streams(spark, sf_dir)
+    for i, s in enumerate(streams):
+        if i == len(streams) // 2:
+            remove(spark, out)
+            rebuild(state_rows(spark, ck, ["word"], ["count"]), out, spark, ck)
+        R.run(R.running_counts(tokens(s, "text"), "word", out, ck))
+    return R.current(spark, out, "word")
+
+
+MARKER_BATCH = 2  # the registered query's marker: any row of this input batch
+
+
+@register("stream_until_marker", f"""
+select word, count(*) as count from (
+  select unnest(string_split(text, ' ')) as word from documents
+  where coalesce(doc_id % {N_BATCHES}, 0) <= {MARKER_BATCH}) group by word""")
+def stream_until_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts of the batches up to the one that holds a marker, that batch included."""
+    out, ck = _dirs(spark, "wc-marker")
+
+    def sink(b: DataFrame, batch_id: int) -> None:
+        R.write_batch(wordcount(b, "text"), out, batch_id)
+    drain_until_marker(document_streams(spark, sf_dir), F.col("batch") == MARKER_BATCH, sink, ck)
+    return spark.read.parquet(out).groupBy("word").agg(F.sum("count").alias("count"))
+
+
 # -- running popularity / means with ranked tables ---------------------------
 
 def _streamed(spark, sf_dir, question, named=True):
@@ -127,8 +182,8 @@ def stage_partials_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = ~F.col("cancelled") & ~F.col("diverted") & F.col("airline_id").isNotNull()
     for s in flight_line_streams(spark, sf_dir):
         R.run(stage_partials(s.filter(done), ["airline_id"], "arr_delay", out, ck))
-        R.run(merge_partials_stream(spark, out, ["airline_id"], "mean_arr_delay", final, ck2))
-    return R.read_snapshot(spark, final)
+        R.run(merge_partials_stream(spark, out, ["airline_id"], final, ck2))
+    return read_merged(spark, final, ["airline_id"], "mean_arr_delay")
 
 
 @register("stage_partials_popularity", FLIGHTS_CTE + "select airport, count from pop")
@@ -147,7 +202,7 @@ def stream_two_leg(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ck = _dirs(spark, "two-leg")
     legs = scratch_path(spark, "two-leg-legs")
     R.drain(flight_line_streams(spark, sf_dir), lambda s: _stream_two_leg(s, TRIP_YEAR, legs, out, ck))
-    return spark.read.parquet(out).drop("start_month")
+    return KeyedTable.open(spark, out).read()
 
 
 # -- messages ----------------------------------------------------------------
@@ -174,7 +229,7 @@ select flight_date, airline_id, flight_num, origin, dest, dep_min, arr_min,
   dep_delay, arr_delay, cancelled, cancellation_code, diverted from flights""")
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = to_csv_lines(as_kept_layout(fx.raw_flights(spark, sf_dir)))
-    msgs = to_messages(with_positions(lines), chunk=5000)
+    msgs = to_messages(with_positions(lines, scratch_path(spark, "flight-lines")), chunk=5000)
     typed = accepted(parse_flights(flights_from_lines(lines_from_messages(msgs))))
     return typed.select("flight_date", "airline_id", "flight_num", "origin", "dest", "dep_min",
                         "arr_min", "dep_delay", "arr_delay", "cancelled", "cancellation_code",
