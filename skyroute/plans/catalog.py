@@ -318,7 +318,7 @@ def od_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 select word, count(*) as count from (
   select unnest(string_split(text, ' ')) as word from documents) group by word""")
 def wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wordcount(fx.table(spark, sf_dir, "documents"), "text", " ")
+    return _wordcount(fx.spread(fx.table(spark, sf_dir, "documents").select("text")), "text", " ")
 
 
 # streaming, message, lookup and source queries register themselves on import

@@ -5,8 +5,8 @@ therefore judged by its text before its fields are believed:
 
 * ``quotes``: a quote inside an unquoted field, text after a closing quote, or no closing one;
 * ``short``: fewer fields than columns;
-* ``long``: a surplus field that holds something (empty surplus fields, as from a comma at the
-  end of each line, hold nothing and are let pass).
+* ``long``: a surplus field that is not empty (empty ones, as from a comma at the end of each
+  line, hold nothing and are let pass).
 
 Fields and judgement are built-in expressions on the line, so scans, messages and streams
 share them. Only lines that hold a quote are looked at more closely.
@@ -25,18 +25,25 @@ MALFORMED, RAW_LINE = "malformed", "raw_line"
 _CSV_READ = {"sep": ",", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\u0001"}
 
 _MARK = "\u0001"  # stands for a quoted field while fields are counted
-_EMPTY_QUOTED = '(^|,)""(?=,|$)'
 _QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 
 
+def _times(text: Column, part: str) -> Column:
+    """How often ``part`` occurs in ``text``."""
+    return ((F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("int")
+
+
 def line_fault(line: Column, fields: int) -> Column:
     """What is wrong with a CSV line of ``fields`` fields; null if nothing is."""
-    bare = F.when(line.contains('"'), F.regexp_replace(F.regexp_replace(line, _EMPTY_QUOTED, "$1"), _QUOTED, _MARK)
-                  ).otherwise(line)
-    bad_quotes = line.contains('"') & bare.rlike(f'"|[^,]{_MARK}|{_MARK}[^,]')
-    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    quoted = line.contains('"')
+    bare = F.when(quoted, F.regexp_replace(line, _QUOTED, _MARK)).otherwise(line)
+    # every quoted field stands between commas (or at an end of the line), and no quote is left
+    fenced = F.concat(F.lit(","), bare, F.lit(","))
+    loose = ((_times(bare, _MARK) != _times(fenced, f",{_MARK}")) | (_times(bare, _MARK) != _times(fenced, f"{_MARK},")))
+    commas = _times(bare, ",")
     surplus = (commas >= fields) & bare.rlike(f"^(?:[^,]*+,){{{fields}}},*+[^,]")
-    return (F.when(bad_quotes, "quotes").when(commas < fields - 1, "short").when(surplus, "long"))
+    return (F.when(quoted & (bare.contains('"') | loose), "quotes")
+            .when(commas < fields - 1, "short").when(surplus, "long"))
 
 
 def records(lines: DataFrame, schema: StructType, line: str = "line") -> DataFrame:

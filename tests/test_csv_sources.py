@@ -148,7 +148,7 @@ def test_text_scan_and_export_import(spark, tmp_path):
 
 FAULTS = {  # of lines with four fields
     "a,b,c,d": None, ",,,": None, 'a,"b,c",d,"e"': None, '"","x ""y"" z",,""""': None, "a,b,c,d,": None, "a,b,c,d,,": None,
-    'a,b,c,d,""': None, "a,b,c": "short", "": None, "abc": "short", '"a,b,c,d"': "short", "a,b,c,d,e": "long",
+    'a,b,c,d,""': "long", "a,b,c": "short", "": None, "abc": "short", '"a,b,c,d"': "short", "a,b,c,d,e": "long",
     "a,b,c,d,,e": "long", 'a,b,c,d,"e"': "long", 'a,"b,c,d': "quotes", 'a,b"c,d,e': "quotes", 'a,"b"c,d,e': "quotes",
     'a,"b" ,c,d': "quotes", 'a,b,c,"': "quotes", 'a,""b,c,d': "quotes", 'a,"b""","c"",d': "quotes",
 }
