@@ -16,7 +16,7 @@ def test_stages(spark):
     ids = lambda df: [r.doc_id for r in df.select("doc_id").collect()]
 
     one = ids(cp.language_id(spark, docs, SF))
-    assert sorted(one) == sorted(i for i, t in text.items() if any(c.isalpha() for c in t))
+    assert sorted(one) == sorted(i for i, t in text.items() if any(c.isalpha() for c in t))  # clean texts stay
     two = ids(cp.near_duplicates(spark, docs, SF))
     assert sorted(two) == sorted(i for i, (_, c) in _components(list(text.items()), 5).items() if c == i)
     bench = table("benchmark")
@@ -60,3 +60,63 @@ def test_a_tiny_cell_does_not_set_the_rate_of_the_mixture(spark):
     share = [sum(n[i] for i in ids) / sum(n.values()) for ids in kept]
     assert all(abs(s - cp.MIX_KEEP) < 0.2 for s in share) and abs(share[0] - share[1]) < 0.02
     assert -1 in kept[1] and len(kept[0] ^ kept[1]) <= 0.02 * len(n)
+
+
+def test_decisions_hold_for_rows_not_for_ids(spark):
+    """Rows without an id, and texts that share one, are judged by themselves."""
+    bench = table("benchmark")
+    leak = "before it " + next(t for t in bench.text if len(t.split()) > 12) + " and after"
+    a, b = (" ".join(f"{w}{i}" for i in range(40)) for w in ("one", "two"))
+    rows = [(None, leak), (None, a), (None, "clean text"), (6, leak), (6, b), (7, a), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = lambda df: sorted(map(tuple, df.select("doc_id", "text").collect()), key=str)
+    assert left(cp.decontamination(spark, docs, SF)) == sorted([r for r in rows if r[1] != leak], key=str)
+    # of equal texts the row with the smallest id stays, one without an id last
+    assert left(cp.near_duplicates(spark, docs, SF)) == sorted(
+        [(None, "clean text"), (6, leak), (6, b), (7, a), (8, None), (8, None)], key=str)
+
+
+def test_language_stage_follows_the_classifier(spark):
+    from skyroute.llm import langid
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs.where("doc_id % 2 = 0"))
+    junk = ["\u0440\u0443\u0441\u0441\u043a\u0438\u0439 \u0442\u0435\u043a\u0441\u0442 \u0437\u0434\u0435\u0441\u044c " * 9, "qx zk", "\u4e2d\u6587", "\u00bd \u216b 12 %%"]
+    rows = spark.createDataFrame([(-i, t) for i, t in enumerate(junk, 1)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(rows)
+    kept = {r.doc_id for r in langid.keep_identified(both, model).collect()}
+    assert {i for i in kept if i < 0} == {-2, -3}  # too short to be judged by their loss
+    held_out = {r.doc_id for r in docs.where("doc_id % 2 = 1").select("doc_id").collect()}
+    assert held_out <= kept  # no clean held-out document is lost
+    # with nothing to learn from, every text with a letter stays
+    nothing = langid.fit(docs.where("false"))
+    assert {r.doc_id for r in langid.keep_identified(both, nothing).collect()} == held_out | kept | {-1, -2, -3}
+
+
+def test_numerals_are_no_letters():
+    from skyroute.llm import langid
+    assert not any(map(langid.has_letter, ["\u00bd \u00b2 \u216b \u2462 12 _", "", "%%%"]))
+    assert all(map(langid.has_letter, ["\u00bda", "\u4e2d", "1 x", "\u00e9"]))
+
+
+def test_decoding_equals_a_plain_loop(spark):
+    """Language, score and ambiguity against loops over languages and bits."""
+    import math
+
+    from skyroute.llm import langid
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs)
+    texts = [r.text for r in docs.select("text").limit(40).collect()] + ["the", "la la", "x"]
+    for margin in (0.05, 0.5):
+        for t, (lang, score, unsure) in zip(texts, langid.decode(model, texts, margin), strict=True):
+            x = langid.features(t)
+            losses = []
+            for c in range(len(model.languages)):
+                loss = 0.0
+                for b in range(model.code.shape[1]):
+                    m = float(x @ model.coef[:, b] + model.bias[b]) * int(model.code[c, b])
+                    loss += math.log1p(math.exp(-m)) * model.weights[c, b]
+                losses.append(loss)
+            best = min(range(len(losses)), key=losses.__getitem__)
+            order = sorted(losses)
+            assert lang == model.languages[best] and unsure == (order[1] - order[0] < margin)
+            assert abs(score - 1 / sum(math.exp(-4 * (v - order[0])) for v in losses)) < 1e-5
