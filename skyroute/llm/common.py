@@ -35,6 +35,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_uri(spark: SparkSession, path: str) -> str:
+    """``path`` as a URI of the store it lies in, for tasks that open files by themselves."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toUri().toString()
+    return uri if "://" in uri else uri.replace(":/", ":///", 1)
+
+
 def small_enough(rows: int, bytes_per_row: int) -> bool:
     return rows * bytes_per_row <= BROADCAST_BYTES
 

@@ -133,6 +133,39 @@ def test_bm25_equals_brute_force(spark, shard_bytes):
         assert sorted(got[q]) == [(n + 1, round(s, 6), i) for n, (s, i) in enumerate(hits)]
 
 
+def test_bm25_skips_blocks_and_loses_nothing():
+    """Alike documents lie in one range: ranges that cannot reach the k best are never read."""
+    rng = np.random.default_rng(4)
+    topics = [[f"t{t}w{w}" for w in range(40)] for t in range(12)]
+    texts = [f"topic{t} topic{t} topic{t} " + " ".join(rng.choice(topics[t], 25)) + " the of and" for t in rng.integers(0, 12, 3000)]
+    index = bm25.Shard(31.0)
+    for i, t in enumerate(texts):
+        index.add(i, t.encode())
+    plain = index.build().stored()
+    index = bm25.Shard.load(plain)
+    df = np.diff(index.starts)
+    idf = dict(zip(index.keys.tolist(), np.log1p((3000 - df + 0.5) / (df + 0.5)), strict=True))
+    for text in texts[:40]:
+        keys = np.unique(bm25.terms(text.encode()))
+        weights = np.array([idf[x] for x in keys.tolist()])
+        sums = np.zeros(3000)
+        for key, w in zip(keys, weights, strict=True):
+            t = np.searchsorted(index.keys, key)
+            at = slice(index.starts[t], index.starts[t + 1])
+            sums[index.docs[at]] += w * index.impacts[at]
+        sums = np.round(sums, 9)
+        best = np.lexsort((index.ids, -sums))[:9]
+        ids, scores = index.search(keys, weights, 9)
+        assert ids.tolist() == index.ids[best].tolist() and scores.tolist() == sums[best].tolist()
+    assert index.read < 0.5 * index.listed
+
+
+def test_bm25_ids_are_integers(hard_docs):
+    text_ids = hard_docs.selectExpr("cast(doc_id as string) doc_id", "text")
+    with pytest.raises(ValueError, match="integers"):
+        bm25.top_k(text_ids, text_ids)
+
+
 def test_bm25_hard_rows(hard_docs, no_docs):
     hits = bm25.top_k(hard_docs, hard_docs, k=3, shard_bytes=300_000).collect()
     by = {}
