@@ -1,7 +1,7 @@
 """Chat formatting with Spark expressions only, and reading the format back.
 
 Turns are collected per conversation as structs and sorted by (turn, role, text);
-``aggregate`` merges neighbours of one role into messages; a message is written as
+neighbours of one role are merged into messages by array functions; a message is written as
 ``<|role|>`` + newline + texts joined by ``<|+|>`` + ``</s>`` and a conversation as
 ``<s>`` + messages. Control strings inside texts and roles are escaped reversibly, so
 none of them can be taken for a mark. ``loss_spans`` holds [start, end) code-point
@@ -10,16 +10,20 @@ offsets of every text whose role is trained on.
 Cases: null texts and roles are empty; a null turn sorts first; rows with a null
 conversation id form one conversation; repeated rows are repeated turns; columns
 besides the four named ones are ignored; an empty table gives an empty result.
-A conversation becomes one string, so it must fit one row.
+A conversation becomes one string, so it must fit one row; arrays are cut in chunks where
+something runs along them, so that the work is near linear in the number of turns.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Items of an array in which something runs along item by item.
+CHUNK = 256
 BEGIN, END, OPEN, CLOSE, NEXT = "<s>", "</s>", "<|", "|>\n", "<|+|>"
 #: Control strings and what stands for them inside texts, after ``&`` became ``&amp;``.
 ESCAPES = (("<s>", "&bos;"), ("</s>", "&eos;"), ("<|", "&open;"), ("|>", "&close;"),
@@ -39,18 +43,30 @@ def unescape(c: Column) -> Column:
     return F.replace(c, F.lit("&amp;"), F.lit("&"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _chunks(items: Column, size: int) -> Column:
+    """An array as an array of its consecutive parts of ``size`` items."""
+    count = F.ceil(F.size(items) / size).cast("int")
+    whole = F.transform(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda c: F.slice(items, c * size + 1, F.lit(size)))
+    return F.slice(whole, F.lit(1), count)
+
+
 def _merged(turns: Column) -> Column:
     """Messages: neighbours of one role in one struct of role and texts."""
+    places = F.sequence(F.lit(0), F.size(turns) - 1)
+    opens = F.filter(places, lambda i: ~F.get(turns, i)["role"].eqNullSafe(F.get(turns, i - 1)["role"]))
 
-    def step(done: Column, t: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        longer = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(t["text"])).alias("texts"))
-        fresh = F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts"))
-        return (F.when((F.size(done) > 0) & (last["role"] == t["role"]),
-                       F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer)))
-                .otherwise(F.concat(done, F.array(fresh))))
+    def message(starts: Column) -> Column:
+        return F.transform(starts, lambda s, k: F.struct(
+            F.get(turns, s)["role"].alias("role"),
+            F.transform(F.slice(turns, s + 1, F.coalesce(F.get(starts, k + 1), F.size(turns)) - s), lambda t: t["text"])
+            .alias("texts")))
 
-    return F.aggregate(turns, F.array().cast("array<struct<role:string,texts:array<string>>>"), step)
+    return _bound(opens, message)
 
 
 def _pieces(messages: Column, loss_roles: list[str]) -> Column:
@@ -73,7 +89,16 @@ def _spans(pieces: Column) -> Column:
         return F.struct(end.alias("at"), spans.otherwise(s["spans"]).alias("spans"))
 
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda s: s["spans"])
+
+    def of_chunks(chunks: Column) -> Column:
+        ends = F.aggregate(chunks, F.array().cast("array<int>"), lambda done, chunk: F.concat(done, F.array(F.aggregate(
+            chunk, F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)),
+            lambda at, p: at + F.char_length(p["lead"]) + F.char_length(p["body"])))))
+        return _bound(ends, lambda e: F.flatten(F.transform(chunks, lambda chunk, c: F.aggregate(
+            chunk, F.struct(F.coalesce(F.get(e, c - 1), F.lit(0)).alias("at"), none.alias("spans")), step,
+            lambda s: s["spans"]))))
+
+    return _bound(_chunks(pieces, CHUNK), of_chunks)
 
 
 def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -106,5 +131,11 @@ def parse_chats(chats: DataFrame, formatted: str = "formatted", turns_col: str =
 
 def loss_text(formatted: Column, spans: Column) -> Column:
     """Everything under the loss mask, unescaped and joined without a separator."""
-    return F.array_join(F.transform(spans, lambda s: unescape(
-        F.substring(formatted, s["start"] + 1, s["end"] - s["start"]))), "")
+    def of_chunk(chunk: Column) -> Column:
+        # offsets are counted from a chunk's own part of the string
+        begin = F.get(chunk, F.lit(0))["start"]
+        part = F.substring(formatted, begin + 1, F.element_at(chunk, F.lit(-1))["end"] - begin)
+        return _bound(part, lambda text: F.array_join(F.transform(chunk, lambda s: unescape(
+            F.substring(text, s["start"] - begin + 1, s["end"] - s["start"]))), ""))
+
+    return F.array_join(F.transform(_chunks(spans, CHUNK), of_chunk), "")

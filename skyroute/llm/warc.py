@@ -15,6 +15,8 @@ without gaps, total length) and joined; then the chunk framing is decoded.
 
 ``read_archives`` gives each response a ``status``: ``ok``, ``incomplete`` (missing or
 wrong segments) or ``framing`` (the chunk framing is broken); faulty ones have no payload.
+Records of other types (``warcinfo``, ``request`` and so on) are left out. An archive that is
+cut or damaged gives its records up to that place and one row with status ``broken``.
 
 Cases: null html is an empty payload, null urls are empty; control characters in urls are
 percent-encoded; equal rows with the smallest id are all responses; a null id is a
@@ -23,10 +25,10 @@ response only in a group without any id; an empty table gives an empty archive.
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
@@ -153,6 +155,24 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + 4
 
 
+def inflated(data: bytes) -> tuple[bytes, bool]:
+    """What an archive holds, and whether that is all: gzip members one after the other, or plain bytes."""
+    if data[:2] != b"\x1f\x8b":
+        return data, True
+    out, at = [], 0
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof and at < len(data):
+            try:
+                out.append(member.decompress(data[at:at + (1 << 16)]))
+            except zlib.error:
+                return b"".join(out), False
+            at = min(at + (1 << 16), len(data)) - len(member.unused_data)
+        if not member.eof:
+            return b"".join(out), False
+    return b"".join(out), True
+
+
 _PARSED = ("record_id string, record_type string, page_id long, refers_to long, digest string, segment int, "
            "total long, block binary, payload_bytes long, payload_digest string, payload binary, status string")
 
@@ -174,7 +194,7 @@ def joined(segments: list[tuple[int, int | None, bytes]]) -> bytes | None:
 
 
 def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) -> DataFrame:
-    """One row per response or revisit record, cut records put together again."""
+    """One row per response or revisit record, cut records put together again, and one per broken archive."""
     fields = [x.split()[0] for x in _PARSED.split(", ")]
     schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "int": pa.int32(),
                              "binary": pa.binary()}[t]) for n, t in (x.split() for x in _PARSED.split(", "))])
@@ -185,10 +205,16 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column(0):
-                data = content.as_buffer().to_pybytes()
-                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-                rows, held = [], 0
-                for head, block in parse_records(data):
+                data, whole = inflated(content.as_buffer().to_pybytes())
+                rows, held, records = [], 0, parse_records(data)
+                while True:
+                    try:
+                        head, block = next(records)
+                    except StopIteration:
+                        break
+                    except (ValueError, KeyError):  # decoding errors are value errors
+                        whole = False
+                        break
                     number = head.get("warc-segment-number")
                     r = {"record_id": head.get("warc-segment-origin-id", head["warc-record-id"]),
                          "record_type": head["warc-type"],
@@ -200,14 +226,16 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
                               "total": int(head.get("warc-segment-total-length", 0)) or None}
                     elif r["record_type"] == "response":
                         r |= _finished(block, keep_payload)
-                    else:
+                    elif r["record_type"] == "revisit":
                         r["status"] = "ok"
+                    else:
+                        continue
                     rows.append(r)
                     held += len(block)
                     if held > 1 << 22 or len(rows) >= 1024:
                         yield batch(rows)
                         rows, held = [], 0
-                yield batch(rows)
+                yield batch(rows if whole else [*rows, {"status": "broken"}])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -229,7 +257,8 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
                 .alias("segments")))
     out = ["record_id", "record_type", "page_id", "refers_to", "digest", "payload_bytes", "payload_digest", "payload",
            "status"]
-    return records.where("segment is null").select(out).unionByName(cut.mapInArrow(assemble, _PARSED).select(out))
+    put_together = cut.mapInArrow(assemble, _PARSED).where("record_type is null or record_type = 'response'")
+    return records.where("segment is null").select(out).unionByName(put_together.select(out))
 
 
 def resolved(records: DataFrame) -> DataFrame:

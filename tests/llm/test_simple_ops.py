@@ -38,6 +38,25 @@ def test_cut_texts_count_as_whole_ones():
     assert token_counts.counter(path)(odd) == [len(tok.encode(t, add_special_tokens=False)) for t in odd]
 
 
+def test_parts_are_bounded_and_count_as_whole_ones(monkeypatch):
+    """Texts without spaces are cut at punctuation, texts with special strings elsewhere; groups of few bytes."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    added = token_counts.marks(path)
+    monkeypatch.setattr(token_counts, "LONG_CHARS", 20)
+    cjk = "\u4eca\u65e5\u306f\u3001\u4e16\u754c\u3002abc,DEF.\uac00\ub098\uff01\uff1f" * 40
+    texts = [cjk, cjk + " " + cjk, "it's,he'll.x!" * 9, "a.b(c)d:e;f" * 9 + "<|endoftext|>", "one two <|endoftext|>  three " * 5,
+             " <|endoftext|> " + cjk, "x <|endoftext|><|endoftext|> y", "w." * 30 + "\n" + "\u00e9,\u00e9." * 30]
+    for limit in (1, 50, 1 << 20):
+        assert token_counts.counter(path, limit)(texts) == [len(tok.encode(t, add_special_tokens=False)) for t in texts]
+    for t in texts:
+        assert "".join(token_counts.parts_of(t, added)) == t
+    assert max(map(len, token_counts.parts_of(cjk, added))) < 20
+    assert len(token_counts.parts_of("one two <|endoftext|> three four five", added)) == 4
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers(spark, name):
     path = queries.tokenizer_path(name)
@@ -122,6 +141,25 @@ def test_chats_hard_rows(spark):
     assert chat.parse_chats(chat.format_chats(df.limit(0))).count() == 0
 
 
+def test_long_conversations_take_seconds(spark):
+    """Messages, spans and masked text of tens of thousands of turns; chunk borders change nothing."""
+    import time
+
+    def turns(n, run):
+        return [("assistant" if i // run % 2 else "user", f"é{i} <s> " + "&" * (i % 3)) for i in range(n)]
+    chats = {1: turns(30_000, 1), 2: turns(30_000, 700), 3: turns(257, 1), 4: turns(1, 1), 5: turns(256, 300)}
+    rows = [(c, i, r, t) for c, x in chats.items() for i, (r, t) in enumerate(x)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4, "conv_id")
+    began = time.time()
+    out = chat.parse_chats(chat.format_chats(df)).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans")))
+    got = {r.conv_id: r for r in out.collect()}
+    assert time.time() - began < 60
+    for c, x in chats.items():
+        assert [(t.role, t.text) for t in got[c].turns] == x
+        assert got[c].loss == "".join(t for r, t in x if r == "assistant")
+    assert got[2].formatted.count(chat.OPEN) - got[2].formatted.count(chat.NEXT) == -(-30_000 // 700)
+
+
 def test_warc_round_trip(spark):
     got = {r.page_id: r for r in queries.op10_warc(spark, SF).collect()}
     pages = table("pages")
@@ -164,3 +202,22 @@ def test_warc_faults(spark, tmp_path):
     (tmp_path / "x.gz").write_bytes(gzip.compress(b"".join(r + warc.RECORD_END for r in recs[:2] + recs[3:] + [broken])))
     got = {r.page_id: r for r in warc.read_archives(spark, str(tmp_path / "x.gz")).collect()}
     assert (got[1].status, got[1].payload) == ("incomplete", None) and got[2].status == "framing"
+
+
+def test_warc_leaves_out_other_records_and_reports_broken_tails(spark, tmp_path):
+    """warcinfo and request records are no responses; what comes before a cut or damaged place counts."""
+    record = lambda kind, n, **f: warc._head(kind, f"urn:{n}", "d", 6, **f) + b"A: b\r\n" + warc.RECORD_END
+    pages = [b"".join(r + warc.RECORD_END for r in warc.page_records(
+        i, "u", b"payload" * 40, "d", None, 0, "2000-01-01T00:00:00Z", 1 << 15, 100)) for i in range(6)]
+    (tmp_path / "foreign.warc").write_bytes(record("warcinfo", 1) + pages[0] + record("request", 2) + pages[1])
+    (tmp_path / "members.gz").write_bytes(b"".join(map(gzip.compress, [record("metadata", 3), pages[2], pages[3]])))
+    cut = gzip.compress(pages[4] + pages[5])
+    (tmp_path / "cut.gz").write_bytes(cut[:-20])
+    (tmp_path / "damaged.warc").write_bytes(pages[5].replace(b"X-Page-ID: 5", b"X-Page-ID: 6") + b"WARC/1.1\r\nno length\r\n\r\nx")
+    segments = list(warc.page_records(9, "u", b"z" * 900, "d", None, 0, "2000-01-01T00:00:00Z", 400, 100))
+    other = [segments[0].replace(b"WARC-Type: response", b"WARC-Type: resource"), *segments[1:]]
+    (tmp_path / "resource.warc").write_bytes(b"".join(r + warc.RECORD_END for r in other))
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(r.page_id for r in got if r.status == "ok") == [0, 1, 2, 3, 4, 6]
+    assert {r.record_type for r in got if r.status == "ok"} == {"response"}
+    assert sorted((r.status, r.page_id) for r in got if r.status != "ok") == [("broken", None), ("broken", None)]
