@@ -25,7 +25,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from skyroute.operators.aggregate import tokens
-from skyroute.operators.flights import accepted, parse_flights
+from skyroute.operators.flights import REJECT, accepted, parse_flights, rejected
 from skyroute.plans import questions as q
 from skyroute.sources import csv as csvsrc
 from skyroute.session import cluster_session, get_spark, scratch_path
@@ -34,10 +34,13 @@ from skyroute.sources.messages import (
     DEFAULT_CHUNK, flights_from_lines, lines_from_messages, to_messages, with_positions,
     write_messages_kafka,
 )
+from skyroute.sources.keyed import publish_keyed
+from skyroute.sources.records import RAW_LINE
 from skyroute.sources.tables import lookup, publish
 from skyroute.streaming import running as R
 from skyroute.streaming.questions import STREAMED, stream_question
 from skyroute.streaming.sources import stream_source
+from skyroute.streaming.two_leg import TRIP_KEY
 
 
 def _session(args) -> SparkSession:
@@ -55,7 +58,9 @@ def _names(spark, path: str | None):
 def _emit(df: DataFrame, args, partition: str | None = None) -> None:
     """Write the result (published by key when asked) and show the first rows."""
     if args.output:
-        if partition:
+        if partition and getattr(args, "keyed", False):
+            publish_keyed(df, args.output, [partition], [partition, "rank"])
+        elif partition:
             publish(df, args.output, partition)
         else:
             df.write.mode("overwrite").parquet(args.output)
@@ -82,7 +87,10 @@ def run_batch(spark, args) -> None:
     build, part = BATCH[args.job]
     df = build(spark, args)
     if args.job == "two-leg" and args.output:
-        publish(df, args.output, part, cluster=False)
+        if args.keyed:
+            publish_keyed(df, args.output, [part], TRIP_KEY)
+        else:
+            publish(df, args.output, part, cluster=False)
         if args.show:
             df.show(args.show, truncate=False)
         return
@@ -92,6 +100,7 @@ def run_batch(spark, args) -> None:
 def run_stream(spark, args) -> None:
     """Streaming question over a message source (values = CSV lines, chunked)."""
     from skyroute.streaming.two_leg import stream_two_leg_incremental
+    rejects = None
     if args.source == "files":
         src = stream_source(spark, "text", args.path, max_files_per_trigger=args.files_per_trigger)
     elif args.source == "kafka":
@@ -106,7 +115,12 @@ def run_stream(spark, args) -> None:
                                  compact_every=args.compact_every,
                                  seed=spark.read.parquet(args.seed) if args.seed else None)
     else:
-        flights = accepted(parse_flights(flights_from_lines(lines_from_messages(src))))
+        parsed = parse_flights(flights_from_lines(lines_from_messages(src)))
+        if args.rejects:
+            # a query of its own, with its own checkpoint: the source is read a second time
+            rejects = R.per_batch(rejected(parsed).select(REJECT, RAW_LINE), lambda b: b, args.rejects,
+                                  args.checkpoint + "_rejects", args.trigger)
+        flights = accepted(parsed)
         if args.question == "two-leg":
             query = stream_two_leg_incremental(flights, args.year, args.output + "_legs",
                                                args.output, args.checkpoint,
@@ -114,7 +128,11 @@ def run_stream(spark, args) -> None:
         else:
             query = stream_question(args.question, flights, _names(spark, args.lookup), args.output,
                                     args.checkpoint, args.k, args.trigger)
-    R.run(query)
+    try:
+        R.run(query)
+    finally:
+        if rejects:
+            R.run(rejects, None if args.trigger == "available_now" else 0)
 
 
 def main(argv=None) -> None:
@@ -137,6 +155,8 @@ def main(argv=None) -> None:
         s = sub.add_parser(name)
         s.add_argument("--flights", required=True, help="table written by 'load'")
         s.add_argument("--output", default=None)
+        s.add_argument("--keyed", action="store_true",
+                       help="publish per-origin results as a keyed table: readers see the old table or the new")
         s.add_argument("--lookup", default=None, help="airline (code, description) CSV")
         s.add_argument("--k", type=int, default=10)
         s.add_argument("--year", type=int, default=2008)
@@ -178,6 +198,7 @@ def main(argv=None) -> None:
     s.add_argument("--year", type=int, default=2008)
     s.add_argument("--sep", default=" ")
     s.add_argument("--compact-every", type=int, default=100)
+    s.add_argument("--rejects", help="table of the lines that are no flights, with the reasons")
     s.add_argument("--seed", help="table of (word, count) that word counts start from")
 
     args = p.parse_args(argv)

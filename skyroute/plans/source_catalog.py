@@ -12,7 +12,9 @@ from skyroute.operators.ranking import number_rows
 from skyroute.operators.trips import best_trips
 from skyroute.plans import fixture as fx
 from skyroute.plans import questions as q
-from skyroute.plans.catalog import FLIGHTS_CTE, ORACLE_SQL, TRIP_YEAR, TWO_LEG_BEST_SQL, register
+from skyroute.plans.catalog import (
+    FLIGHTS_CTE, ORACLE_SQL, TOP_CARRIERS_BY_PATH_SQL, TRIP_YEAR, TWO_LEG_BEST_SQL, register,
+)
 from skyroute.session import scratch_path
 from skyroute.sources import csv as csvsrc
 from skyroute.sources.ingest import archive_lines, first_file_per_listing_group, list_input_files
@@ -21,6 +23,7 @@ from skyroute.sources.keyed import KeyedTable, bucket_of
 from skyroute.sources.messages import (
     as_kept_layout, flights_from_lines, lines_from_messages, to_csv_lines, to_messages, with_positions,
 )
+from skyroute.sources.tables import lookup, publish
 from skyroute.streaming import running as R
 from skyroute.streaming.sources import stream_source
 
@@ -287,3 +290,15 @@ def flights_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All flights in the total order of their delay, numbered."""
     order = [F.col("arr_delay").desc_nulls_last(), "flight_date", "flight_num", "airline_id", "origin", "dest"]
     return number_rows(fx.flights(spark, sf_dir).select(*_NUMBERED), order)
+
+
+LOOKUP_DEST = "NATION_3"
+
+
+@register("lookup_dest", f"select * from ({TOP_CARRIERS_BY_PATH_SQL}) where destination = '{LOOKUP_DEST}'")
+def lookup_dest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookup by a column that is not the partition key: files sorted by it and with bloom filters."""
+    path = scratch_path(spark, "carriersbypath-sorted")
+    publish(q.top_carriers_by_path(fx.flights(spark, sf_dir), fx.airline_names(spark, sf_dir)), path, "origin",
+            sort=["destination", "rank"], bloom=["destination", "airlineid"])
+    return lookup(spark, path, order=("origin", "rank"), destination=LOOKUP_DEST)

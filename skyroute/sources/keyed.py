@@ -149,6 +149,14 @@ def _columns_of(rows: DataFrame, expression: str) -> bool:
         return False
 
 
+def publish_keyed(df: DataFrame, path: str, by: Sequence[str], keys: Sequence[str],
+                  buckets: int = DEFAULT_BUCKETS) -> KeyedTable:
+    """Make ``df`` the whole content of a keyed table in hash buckets of ``by``: readers see the old table or the new."""
+    table = KeyedTable(df.sparkSession, path, df.schema, keys, bucket_of(by, buckets))
+    table.replace(df, [str(b) for b in range(buckets)])
+    return table
+
+
 def is_keyed(spark: SparkSession, path: str) -> bool:
     """Whether a keyed table was written at ``path``."""
     version = current_version(spark, path)

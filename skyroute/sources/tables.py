@@ -45,6 +45,11 @@ def publish(df: DataFrame, path: str, partition_cols: Sequence[str] | str,
     w.partitionBy(*cols).parquet(path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a published table, keyed or not."""
+    return KeyedTable.open(spark, path).read() if is_keyed(spark, path) else spark.read.parquet(path)
+
+
 def lookup(spark: SparkSession, path: str, order: Sequence[str] | str = ("rank",),
            limit: int | None = None, **key) -> DataFrame:
     """Rows of the published table whose key columns equal ``key``, in clustering order."""

@@ -5,6 +5,7 @@ from skyroute.plans import questions as q
 from skyroute.sources.csv import (
     filter_ontime, read_ontime_filtered, read_ontime_raw, read_stored_flights, write_csv,
 )
+from skyroute.sources.tables import read_table
 from skyroute.streaming.questions import read_answer
 from tests.conftest import rows
 from tests.test_csv_sources import write_raw_ontime
@@ -29,6 +30,12 @@ def test_load_rank_publish_lookup_and_stream(spark, tmp_path, capsys):
     jobs.main(["--show", "5", "lookup", "--table", out, "origin=ORD"])
     assert "American" in capsys.readouterr().out
 
+    keyed = str(tmp_path / "keyed")
+    for _ in range(2):
+        jobs.main(["carriers-by-origin", "--flights", typed, "--output", keyed, "--keyed"])
+    assert rows(read_table(spark, keyed), "origin", "airlineid", "depdelay", "rank") == want
+    assert jobs.lookup(spark, keyed, origin="ORD").count() == jobs.lookup(spark, out, origin="ORD").count()
+
     jobs.main(["--show", "3", "top-airports", "--flights", typed])
     assert "ORD" in capsys.readouterr().out
 
@@ -39,7 +46,7 @@ def test_load_rank_publish_lookup_and_stream(spark, tmp_path, capsys):
     jobs.main(["stream", "carriers-by-origin", "--source", "files", "--path", str(lines),
                "--output", sout, "--checkpoint", ck, "--trigger", "available_now"])
     # the same schema and key as the batch job's table
-    assert rows(spark.read.parquet(sout), "origin", "airlineid", "depdelay", "rank") == want
+    assert rows(read_table(spark, sout), "origin", "airlineid", "depdelay", "rank") == want
     assert jobs.lookup(spark, sout, origin="ORD").count() == jobs.lookup(spark, out, origin="ORD").count() > 0
     for question, cols in [("top-airports", ["airport", "count", "rank"]),
                            ("top-airlines", ["airline_id", "mean_arr_delay", "rank"])]:
@@ -92,11 +99,13 @@ def test_stream_jobs_wordcount_and_two_leg(spark, tmp_path):
     lines = str(tmp_path / "lines")
     write_csv(kept.coalesce(1), lines)
     out = str(tmp_path / "trips")
+    (tmp_path / "lines" / "bad.csv").write_text("2008-05-01,1,2\n")
     jobs.main(["stream", "two-leg", "--source", "files", "--path", lines, "--output", out,
-               "--checkpoint", str(tmp_path / "ck1"), "--trigger", "available_now"])
+               "--checkpoint", str(tmp_path / "ck1"), "--trigger", "available_now", "--rejects", str(tmp_path / "rejects")])
+    assert rows(spark.read.parquet(str(tmp_path / "rejects")), "reject_reason", "raw_line") == [("short", "2008-05-01,1,2")]
     typed = accepted(parse_flights(read_ontime_filtered(spark, lines)))
     cols = ["origin1", "dest1", "dest2", "startdate", "flightnum1", "flightnum2", "total_delay"]
-    assert rows(spark.read.parquet(out), *cols) == rows(best_trips(typed, 2008), *cols)
+    assert rows(read_table(spark, out), *cols) == rows(best_trips(typed, 2008), *cols)
     assert rows(best_trips(typed, 2008), *cols) == rows(best_trips(legs, 2008), *cols)
 
     wc = str(tmp_path / "wc")

@@ -35,3 +35,27 @@ def test_session_defaults(spark):
     for key in ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit",
                 "spark.sql.session.timeZone"):
         assert spark.conf.get(key) == DEFAULT_CONF[key]
+
+
+def test_the_package_is_shipped_whole(tmp_path):
+    """What ``ship_package`` sends can be imported by a Python that has nothing else of the repository."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    from skyroute.session import ship_package
+
+    class Context:
+        def addPyFile(self, path):
+            shutil.copy(path, tmp_path / "sent.zip")
+
+    class Session:
+        sparkContext = Context()
+
+    ship_package(Session())
+    code = ("import skyroute, skyroute.jobs, skyroute.sources.ingest, skyroute.plans.catalog as c; "
+            "print(skyroute.__file__, len(c.QUERIES))")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
+                          env=os.environ | {"PYTHONPATH": str(tmp_path / "sent.zip")})
+    assert done.returncode == 0 and "sent.zip" in done.stdout, done.stderr[-1000:]
