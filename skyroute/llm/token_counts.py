@@ -72,23 +72,25 @@ def counter(path: str, limit: int = 1 << 20) -> Callable[[list[str]], list[int]]
     """The worker's counting function for one tokenizer file; the tokenizer is loaded once."""
     if path not in _counters:
         encode, added = _encoder(path), marks(path)
-        _counters[path] = (encode if added is None else _cached(encode), added)
+        # texts that may not be cut are one part each
+        whole = lambda texts: encode([t for t, in texts])
+        _counters[path] = (whole if added is None else _cached(encode), added)
     count, added = _counters[path]
     return lambda texts: _counts(texts, added, count, limit)
 
 
-def _cached(encode: Callable[[list[str]], list[int]]) -> Callable[[list[str]], list[int]]:
+def _cached(encode: Callable[[list[str]], list[int]]) -> Callable[[list[list[str]]], list[int]]:
     known: dict[str, int] = {}
 
-    def count(parts: list[str]) -> list[int]:
+    def count(texts: list[list[str]]) -> list[int]:
         if len(known) > KEPT_PARTS:
             known.clear()
-        new = set(parts).difference(known)
+        new = {p for parts in texts for p in parts}.difference(known)
         short = [p for p in new if len(p) <= KEPT_CHARS]
         known.update(zip(short, encode(short), strict=True))
         once = {p: encode([p])[0] for p in new if len(p) > KEPT_CHARS}
         get = (lambda p: once[p] if p in once else known[p]) if once else known.__getitem__
-        return list(map(get, parts))
+        return [sum(map(get, parts)) for parts in texts]
 
     return count
 
@@ -113,10 +115,29 @@ def parts_of(text: str, added: list[str] | None) -> list[str]:
     return [q for p in parts for q in (_after_letter(p) if len(p) > LONG_CHARS else (p,))]
 
 
-def _counts(texts: list[str], added: list[str] | None, count: Callable[[list[str]], list[int]], limit: int) -> list[int]:
+def _pieces(text: str, added: list[str] | None, size: int, limit: int) -> Iterator[tuple[int, list[str]]]:
+    """(bytes, parts) of a text of ``size`` bytes, in lists of about ``limit`` bytes."""
+    parts = parts_of(text, added)
+    if size <= limit:
+        yield size, parts
+        return
+    held: list[str] = []
+    n = 0
+    for p in parts:
+        held.append(p)
+        n += len(p.encode())
+        if n >= limit:
+            yield n, held
+            held, n = [], 0
+    if held:
+        yield n, held
+
+
+def _counts(texts: list[str], added: list[str] | None, count: Callable[[list[list[str]]], list[int]],
+            limit: int) -> list[int]:
     """Token counts of texts, their parts encoded in groups of about ``limit`` bytes."""
     totals = [0] * len(texts)
-    held: list[str] = []
+    held: list[list[str]] = []
     owners: list[int] = []
     size = 0
 
@@ -127,10 +148,10 @@ def _counts(texts: list[str], added: list[str] | None, count: Callable[[list[str
         owners.clear()
 
     for i, t in enumerate(texts):
-        for part in parts_of(t, added):
-            held.append(part)
+        for n, parts in _pieces(t, added, len(t) if t.isascii() else len(t.encode()), limit):
+            held.append(parts)
             owners.append(i)
-            size += len(part) if part.isascii() else len(part.encode())
+            size += n
             if size >= limit:
                 flush()
                 size = 0
