@@ -187,18 +187,20 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     return joined.mapInArrow(compare, "a long, b long")
 
 
-#: Members of a bucket that are compared with each other at once.
-BLOCK = 4096
+#: Members of a bucket, and bytes of their profiles, that are compared with each other at once (twice as much
+#: where two blocks meet).
+BLOCK, BLOCK_BYTES = 4096, 32 << 20
 
 
 def across(split: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, batch: int, k: int,
            percent: int, miss: float, seed: int) -> DataFrame:
     """(a, b) of different components that share a bucket and seem as alike as asked for.
 
-    ``split`` has (key, id, component, n) of the buckets with several components. Their
-    members come together in blocks of about ``BLOCK`` rows (a larger bucket as pairs of
-    blocks, in several tasks) with a profile of their text, and only the pairs that pass
-    are emitted: by size, by the signature batches and by the number of common shingles,
+    ``split`` has (key, id, component, n, size) of the buckets with several components, n being
+    the number of a bucket's members and size that of their shingles. The members come
+    together in blocks of about ``BLOCK`` rows or ``BLOCK_BYTES`` bytes (a larger bucket as
+    pairs of blocks, in several tasks) with a profile of their text, and only the pairs that
+    pass are emitted: by size, by the signature batches and by the number of common shingles,
     which 32-bit hashes never count too low. A pair is compared in the first of its
     buckets only.
     """
@@ -223,7 +225,8 @@ def across(split: DataFrame, docs: DataFrame, id_col: str, text_col: str, bands:
 
     profile = stored(texts.join(hinted(ids, ids.count(), 32), "id", "left_semi").mapInArrow(
         profiles, "id long, bands binary, signature binary, shingles binary"), "near-profiles").dropDuplicates(["id"])
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    # a shingle takes four bytes of a profile
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(4 * F.col("size") / BLOCK_BYTES)).cast("int")
     placed = (split.select("key", "id", "component", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"),
                            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
               .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id",
@@ -314,10 +317,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = sigs.where("id is not null and digest is not null")
     classes = known.groupBy("digest").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     copies = known.join(classes.where("n > 1"), "digest").where("id <> rep").select("id", "digest")
-    banded = known.select("id", "digest", "keys").join(copies, ["id", "digest"], "left_anti").select(
-        "id", F.explode("keys").alias("key"))
+    banded = known.select("id", "digest", "keys", "n_shingles").join(copies, ["id", "digest"], "left_anti").select(
+        "id", "n_shingles", F.explode("keys").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last")).where("pivot < last")
-    members = stored(banded.join(buckets, "key").select("key", "id", "pivot").distinct(), "near-buckets")
+    members = stored(banded.join(buckets, "key").select("key", "id", "pivot", "n_shingles").distinct(), "near-buckets")
 
     near = stored(known.select("id", "signature").join(members.select("id").distinct(), "id", "left_semi"),
                   "near-signatures").dropDuplicates(["id"])
@@ -331,9 +334,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     label = components(first)
     held = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"),
-                                     F.max("component").alias("high")).where("low < high").select("key", "n"))
-    split = stored(held.join(mixed, "key").select("key", "id", "component", "n"), "near-split")
+    mixed = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"),
+                                     F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low < high").select("key", "n", "size"))
+    split = stored(held.join(mixed, "key").select("key", "id", "component", "n", "size"), "near-split")
     crossing = stored(across(split, docs, id_col, text_col, bands, rows, batch, k, percent, miss, seed), "near-crossing")
     links = first.unionByName(stored(confirmed(crossing, docs, id_col, text_col, k, percent), "near-links"))
 

@@ -47,10 +47,12 @@ def test_whole_table(spark):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-@pytest.mark.parametrize("k, block", [(2, 4096), (5, 4096), (2, 20)])
-def test_large_groups_of_near_copies(spark, monkeypatch, k, block):
-    """One family whose members are often less alike than 0.8 to each other, chains, and copies."""
+@pytest.mark.parametrize("k, block, size", [(2, 4096, 1 << 25), (5, 4096, 1 << 25), (2, 20, 1 << 25), (2, 4096, 9000)])
+def test_large_groups_of_near_copies(spark, monkeypatch, k, block, size):
+    """One family whose members are often less alike than 0.8 to each other, chains, and copies; buckets of one
+    block, and of many by rows or by bytes."""
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", size)
     rng = random.Random(k)
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     docs = []
@@ -142,7 +144,7 @@ def test_bm25_skips_blocks_and_loses_nothing():
     for i, t in enumerate(texts):
         index.add(i, t.encode())
     plain = index.build().stored()
-    index = bm25.Shard.load(plain)
+    index = bm25.Shard.load(plain[0].values)
     df = np.diff(index.starts)
     idf = dict(zip(index.keys.tolist(), np.log1p((3000 - df + 0.5) / (df + 0.5)), strict=True))
     for text in texts[:40]:
