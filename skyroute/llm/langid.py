@@ -186,25 +186,26 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-#: A text of at least ``JUDGED`` distinct trigrams is in no learned language if the bits' margins are on average
-#: below this share of a training text's (its median). Of 12,467 held-out texts of mixed languages and all
-#: lengths none had less than 0.31; Cyrillic, Chinese, Hindi, hexadecimal and base-64 texts have 0.09 to 0.17.
-#: Texts of fewer trigrams (short ones, or one word repeated) say too little to be judged.
-EVIDENCE, JUDGED = 0.22, 64
+#: A text of at least ``JUDGED_BYTES`` bytes and ``JUDGED_TRIGRAMS`` effective trigrams is in no learned language
+#: if the bits' margins are on average below this share of a training text's (its median). Of 256,410 documents
+#: no such text has less than 0.2, and shorter ones (a license line, a password) no less than 0.18; Cyrillic,
+#: Chinese, Hindi and base-64 texts have 0.09 to 0.17. Short texts, or one word repeated, are not judged.
+EVIDENCE, JUDGED_BYTES, JUDGED_TRIGRAMS = 0.17, 200, 48
 
 
 def identified(model: Model, texts: list[str | None], evidence: float = EVIDENCE) -> list[bool]:
-    """Whether each text has a letter and, if it is varied enough to tell, gives the bits' classifiers evidence.
+    """Whether each text has a letter and, if it says enough to tell, gives the bits' classifiers evidence.
 
-    If no two languages were learned, nothing can be said against any text with a letter.
+    The effective number of trigrams is the inverse of the sum of their squared shares. If no two languages were
+    learned, nothing can be said against any text with a letter.
     """
     out = [bool(t) and has_letter(t) for t in texts]
-    rows = [i for i, yes in enumerate(out) if yes]
+    rows = [i for i, yes in enumerate(out) if yes and len(texts[i].encode()) >= JUDGED_BYTES]
     if rows and len(model.languages) > 1:
         x = np.array([features(texts[i]) for i in rows])
         mean = np.abs(model.margins(x)).mean(axis=1)
-        for i, m, n in zip(rows, mean, np.count_nonzero(x, axis=1), strict=True):
-            out[i] = bool(n < JUDGED or m >= evidence * model.typical)
+        for i, m, same in zip(rows, mean, (x ** 4).sum(axis=1), strict=True):
+            out[i] = bool(m >= evidence * model.typical or same * JUDGED_TRIGRAMS > 1)
     return out
 
 
