@@ -29,7 +29,8 @@ def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts with a letter, but for longer ones that give the language classifiers no evidence."""
+    """Decodes every text to a language and drops those that are in none (``und``): texts without a letter, and longer
+    ones that give the language classifiers no evidence."""
     return langid.keep_identified(docs, langid.fit(docs.where(id_fold(F.col("doc_id")) != 2)))
 
 

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skyroute.llm.common import hinted, stored
 
@@ -209,14 +210,29 @@ def identified(model: Model, texts: list[str | None], evidence: float = EVIDENCE
     return out
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", evidence: float = EVIDENCE) -> DataFrame:
-    """``docs`` without the rows that are not ``identified``; all columns stay."""
+def languages_of(model: Model, texts: list[str | None], evidence: float = EVIDENCE) -> list[str | None]:
+    """The language each text is decoded to; ``und`` if it is not ``identified``, None if no language was learned."""
+    decoded = decode(model, texts, 0.0)
+    return [(lang if model.languages else None) if yes else UNDETERMINED
+            for (lang, _, _), yes in zip(decoded, identified(model, texts, evidence), strict=True)]
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", evidence: float = EVIDENCE,
+             out: str = "lang_pred") -> DataFrame:
+    """``docs`` with the language of every row (``languages_of``) as a further column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                yield part.filter(pa.array(identified(model, part.column(at).to_pylist(), evidence), pa.bool_()))
+                found = languages_of(model, part.column(at).to_pylist(), evidence)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string())], names)
 
-    at = docs.columns.index(text_col)
-    return docs.mapInArrow(run, docs.schema)
+    at, names = docs.columns.index(text_col), [*docs.columns, out]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, StringType())]))
+
+
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", evidence: float = EVIDENCE) -> DataFrame:
+    """``docs`` without the rows whose language is ``und``; all columns stay."""
+    found = identify(docs, model, text_col, evidence, out="__lang_pred")
+    return found.where(F.coalesce(F.col("__lang_pred"), F.lit("")) != UNDETERMINED).drop("__lang_pred")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from skyroute.llm import mixing, sharding
+from skyroute.llm import langid, mixing, sharding
 from tests.llm.conftest import SF, table
 from tests.llm.test_native import _brute
 from tests.llm.test_near_dedup import _components
@@ -123,3 +123,15 @@ def test_decoding_equals_a_plain_loop(spark):
             order = sorted(losses)
             assert lang == model.languages[best] and unsure == (order[1] - order[0] < margin)
             assert abs(score - 1 / sum(math.exp(-4 * (v - order[0])) for v in losses)) < 1e-5
+
+
+def test_language_id_decodes_every_text(spark):
+    texts = [(-1, "0123456789 " * 60), (-2, None), (-3, "".join(chr(0x4E00 + i * 7 % 5000) for i in range(400)))]
+    clean = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = clean.select("doc_id", "text").unionByName(spark.createDataFrame(texts, "doc_id long, text string"))
+    model = langid.fit(clean)
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    decoded = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert {i: found.pop(i) for i, _ in texts} == dict.fromkeys((-1, -2, -3), "und")
+    assert len(set(found.values())) == len(model.languages) and all(decoded[i] == lang for i, lang in found.items())
+    assert {r.doc_id for r in langid.keep_identified(docs, model).collect()} == set(found)
