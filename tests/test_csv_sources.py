@@ -214,3 +214,15 @@ def test_files_of_the_load_follow_their_size(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len(list((out / "status=ok" / "year=2008").glob("*.parquet"))) == 1
     assert read_ingested(spark, str(out)).count() == 30
+
+
+def test_a_line_is_parsed_once_whatever_is_asked_of_its_fields(spark):
+    from skyroute.operators.flights import accepted, completed_with, parse_flights
+    from skyroute.schemas import ONTIME_KEPT_SCHEMA
+    from skyroute.sources.records import records
+
+    lines = spark.createDataFrame([("2000-01-02,7,8,A,,,B,,,0910,1.0,1130,2.0,0,\"\"\"\",0,,,,",), ("2000-01-02,x,8",)], "line string")
+    done = completed_with(accepted(parse_flights(records(lines, ONTIME_KEPT_SCHEMA))), "arr_delay", "airline_id")
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1 and plan.count("regexp_replace(") == 1
+    assert [(r.airline_id, r.dep_min, r.cancellation_code) for r in done.collect()] == [(7, 550, None)]
