@@ -59,3 +59,15 @@ def test_the_package_is_shipped_whole(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
                           env=os.environ | {"PYTHONPATH": str(tmp_path / "sent.zip")})
     assert done.returncode == 0 and "sent.zip" in done.stdout, done.stderr[-1000:]
+
+
+def test_small_methods_in_a_session_of_others(spark):
+    from skyroute.session import small_methods
+    key, had = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    try:
+        for before, after in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(key, before)
+            small_methods(spark)
+            assert spark.conf.get(key) == after
+    finally:
+        spark.conf.set(key, had)
