@@ -22,7 +22,7 @@ from skyroute.sources.messages import (
 )
 from skyroute.sources.keyed import KeyedTable
 from skyroute.sources.tables import lookup, publish
-from skyroute.sources.versions import remove
+from skyroute.sources.versions import read_text, remove
 from skyroute.streaming import running as R
 from skyroute.streaming.control import drain_until_marker
 from skyroute.streaming.partials import merge_partials, merge_partials_stream, read_merged, stage_partials
@@ -182,7 +182,9 @@ def stage_partials_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = ~F.col("cancelled") & ~F.col("diverted") & F.col("airline_id").isNotNull()
     for s in flight_line_streams(spark, sf_dir):
         R.run(stage_partials(s.filter(done), ["airline_id"], "arr_delay", out, ck))
-        R.run(merge_partials_stream(spark, out, ["airline_id"], final, ck2))
+        # the first input batches can be empty; then nothing is committed yet
+        if read_text(spark, f"{out}/commits/{0:012d}") is not None:
+            R.run(merge_partials_stream(spark, out, ["airline_id"], final, ck2))
     return read_merged(spark, final, ["airline_id"], "mean_arr_delay")
 
 
