@@ -226,3 +226,18 @@ def test_a_line_is_parsed_once_whatever_is_asked_of_its_fields(spark):
     plan = done._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv(") == 1 and plan.count("regexp_replace(") == 1
     assert [(r.airline_id, r.dep_min, r.cancellation_code) for r in done.collect()] == [(7, 550, None)]
+
+
+def test_one_match_tells_sound_lines_and_faults_stay_the_same(spark):
+    from pyspark.sql import functions as F
+
+    from skyroute.sources.records import MALFORMED, RAW_LINE, _sound, line_fault, records
+
+    odd = ["a,b,c", "a,,", '"x, ""y""",b,""', '"""",b,c', "a,b", "a,b,c,", "a,b,c,,,", "a,b,c,d", 'a,b,c,""', 'a"b,c,d',
+           '"a"b,c,d', '"a,b,c', 'a,b,"c', "a\u0001b,c,d", '"a\u0001b",c,d', 'a\u0001b,"c",d', ",,", ",", 'a,b,c,,"d"', "a,b,é "]
+    lines = spark.createDataFrame([(x,) for x in odd], "line string")
+    schema = spark.createDataFrame([], "x string, y string, z string").schema
+    whole = {r[0]: (r[1], r[2]) for r in lines.select("line", line_fault(F.col("line"), 3), _sound(F.col("line"), 3)).collect()}
+    assert {r[0]: r[1] for r in records(lines, schema).select(RAW_LINE, MALFORMED).collect()} == {k: v[0] for k, v in whole.items()}
+    assert all(fault is None for fault, sound in whole.values() if sound)
+    assert sum(sound for _, sound in whole.values()) >= 8
