@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -162,6 +163,51 @@ def test_bm25_skips_blocks_and_loses_nothing():
     assert index.read < 0.5 * index.listed
 
 
+def test_bm25_a_full_shard_takes_little_memory(monkeypatch):
+    """Documents of 3,500 bytes and 500 words: what a worker holds while it makes, opens and searches an index."""
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(bm25, "terms", lambda text: rng.zipf(1.2, 500).astype(np.uint64) % np.uint64(300_007))
+    tracemalloc.start()
+    index = bm25.Shard(500.0)
+    for i in range(bm25.SHARD_BYTES // 3500):
+        index.add(i, b"")
+    index = bm25.Shard.load(index.build().stored()[0].values)
+    keys = np.unique(bm25.terms(b""))
+    ids, _ = index.search(keys, np.ones(len(keys)), 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ids) == 10 and peak < 160e6
+
+
+def test_bm25_several_shards_and_queries_share_thresholds():
+    """Queries searched together over two shards find what one index finds, and skip blocks of the second shard."""
+    rng = np.random.default_rng(5)
+    texts = [f"topic{t} " + " ".join(rng.choice([f"t{t}w{w}" for w in range(60)], 30)) + " the of and" for t in rng.integers(0, 9, 3000)]
+    rows = [(int(i), t) for i, t in zip(rng.permutation(3000) // 2, texts, strict=True)]
+    parts = [rows, rows[:1500], rows[1500:]]
+    built = []
+    for part in parts:
+        index = bm25.Shard(34.0)
+        for i, t in part:
+            index.add(i, t.encode())
+        built.append(bm25.Shard.load(index.build().stored()[0].values))
+    one, *both = built
+    asked = []
+    for text in [*texts[:150], "", "nowhere", "topic3", texts[0]]:
+        keys = np.unique(bm25.terms(text.encode()))
+        asked.append((keys, rng.uniform(1, 6, len(keys))))
+    best = bm25.Best(len(asked), 7)
+    for shard in both:
+        shard.search_all(asked, best)
+    for q, (keys, weights) in enumerate(asked):
+        ids, scores = one.search(keys, weights, 7)
+        assert best.ids[best.queries == q].tolist() == ids.tolist()
+        assert np.allclose(best.scores[best.queries == q], scores, rtol=0, atol=2e-9)
+    alone = bm25.Shard.load(both[1].stored()[0].values)
+    alone.search_all(asked, bm25.Best(len(asked), 7))
+    assert both[1].read <= alone.read
+
+
 def test_bm25_ids_are_integers(hard_docs):
     text_ids = hard_docs.selectExpr("cast(doc_id as string) doc_id", "text")
     with pytest.raises(ValueError, match="integers"):
