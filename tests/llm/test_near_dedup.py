@@ -208,6 +208,38 @@ def test_bm25_several_shards_and_queries_share_thresholds():
     assert both[1].read <= alone.read
 
 
+def test_bm25_matrices_are_as_wide_as_their_ranges():
+    """Full blocks take no room for documents that their range does not have, and searches by them lose nothing."""
+    rng = np.random.default_rng(8)
+    sizes = (700, 40, 35, 90, 300)
+    texts = [f"head{t} head{t} head{t} " + " ".join(rng.choice([f"w{w}" for w in range(90)], 40)) for t, n in enumerate(sizes) for _ in range(n)]
+    index = bm25.Shard(43.0)
+    for i, t in enumerate(texts):
+        index.add(i, t.encode())
+    index = bm25.Shard.load(index.build().stored()[0].values)
+    widths = np.diff(index.opens)
+    assert widths.sum() == len(texts) and len(set(widths.tolist())) > 2
+    assert [m.shape[1] for m in index.matrices if len(m)] == [w for m, w in zip(index.matrices, widths.tolist(), strict=True) if len(m)]
+    assert any(len(m) for m in index.matrices)
+    asked, queries = [], [*texts[::50], "head1", "nowhere"]
+    for text in queries:
+        keys = np.unique(bm25.terms(text.encode()))
+        asked.append((keys, rng.uniform(1, 6, len(keys))))
+    best = bm25.Best(len(asked), 5)
+    index.search_all(asked, best)
+    for q, (keys, weights) in enumerate(asked):
+        sums = np.zeros(len(texts))
+        for key, w in zip(keys, weights, strict=True):
+            t = np.flatnonzero(index.keys == key)
+            at = slice(index.starts[t[0]], index.starts[t[0] + 1]) if len(t) else slice(0)
+            sums[index.docs[at]] += w * index.impacts[at]
+        sums = np.round(sums, 9)
+        order = np.lexsort((index.ids, -sums))[:5]
+        order = order[sums[order] > 0]
+        assert best.ids[best.queries == q].tolist() == index.ids[order].tolist()
+        assert np.allclose(best.scores[best.queries == q], sums[order], rtol=0, atol=2e-9)
+
+
 def test_bm25_ids_are_integers(hard_docs):
     text_ids = hard_docs.selectExpr("cast(doc_id as string) doc_id", "text")
     with pytest.raises(ValueError, match="integers"):
