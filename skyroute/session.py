@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # an executor has a store for each of its partitions, and each could take 128 MB beside the heap before it writes
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
     # checkpoint files go when nothing refers to them any more (one merge per micro-batch)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -67,6 +69,19 @@ def small_methods(spark: SparkSession) -> None:
         spark.conf.set(key, DEFAULT_CONF[key])
 
 
+def state_off_heap(spark: SparkSession) -> None:
+    """Keep streaming state off the executors' heap in sessions that were not built here too, if they leave it to Spark.
+
+    Spark's own store holds every key of the state as an object, and the map of keys once more for each version.
+    A query that goes on from a checkpoint keeps the store that it began with.
+    """
+    prefix = "spark.sql.streaming.stateStore."
+    if spark.conf.get(prefix + "providerClass").endswith(".HDFSBackedStateStoreProvider"):
+        for key, value in DEFAULT_CONF.items():
+            if key.startswith(prefix):
+                spark.conf.set(key, value)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to all executors as a zip file."""
     package = Path(__file__).resolve().parent

@@ -96,8 +96,12 @@ class KeyedTable:
         if add:
             merged = old.unionByName(rows).groupBy(PART, *self.keys).agg(*[F.sum(c).alias(c) for c in add])
         else:
-            new = rows.select(*[F.col(c).alias(f"_{c}") for c in self.keys])
-            merged = old.join(new, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in self.keys], "left_anti").unionByName(rows)
+            # The rows stand in the plan once: Spark takes only one of two uses of a stream's persisted batch from the cache
+            # and runs the stream's step again, state included, for the other. A key comes once, so the hash table of
+            # a task is small, and the table's rows need no sort.
+            new = rows.select(*[F.col(c).alias(f"_{c}") for c in rows.columns], F.lit(True).alias("_new")).hint("shuffle_hash")
+            merged = old.join(new, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in self.keys], "full_outer").select(
+                *[F.when(F.col("_new"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in rows.columns])
         self._write(merged, parts, batch)
         return parts
 

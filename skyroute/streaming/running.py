@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from skyroute.session import state_off_heap
 from skyroute.sources.keyed import DEFAULT_BUCKETS, KeyedTable, bucket_of
 from skyroute.sources.versions import current_version, point_to, remove
 
@@ -100,6 +101,7 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str] | str, base_root
 def start(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
           mode: str = "update", trigger: str | None = "available_now",
           name: str | None = None) -> StreamingQuery:
+    state_off_heap(df.sparkSession)
     w = (df.writeStream.outputMode(mode).foreachBatch(sink)
            .option("checkpointLocation", checkpoint).trigger(**trigger_kw(trigger)))
     if name:

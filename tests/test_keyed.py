@@ -151,3 +151,17 @@ def _groups(meta):
     for g in range(meta.num_row_groups):
         columns = [meta.row_group(g).column(c) for c in range(meta.num_columns)]
         yield {c.path_in_schema: (c.statistics.min, c.statistics.max) for c in columns if c.statistics.has_min_max}
+
+
+def test_upsert_plans_its_rows_once(spark, tmp_path, monkeypatch):
+    """A plan that holds a stream's batch twice can run the stream's step twice, though the batch is persisted."""
+    t, plans, write = _table(spark, tmp_path), [], KeyedTable._write
+    t.upsert(_frame(spark, [("A", 1, 1.0), ("A", 2, 2.0), (None, 1, 3.0)]))
+
+    def written(self, merged, *args):
+        plans.append(merged._jdf.queryExecution().analyzed().toString())
+        write(self, merged, *args)
+    monkeypatch.setattr(KeyedTable, "_write", written)
+    t.upsert(_frame(spark, [("A", 2, 5.0), (None, 1, 4.0), ("B", None, 6.0)]))
+    assert plans[0].count("LogicalRDD") == 1
+    assert rows(t.read()) == rows(_frame(spark, [("A", 1, 1.0), ("A", 2, 5.0), (None, 1, 4.0), ("B", None, 6.0)]))

@@ -1,6 +1,6 @@
 import pytest
 
-from skyroute.session import DEFAULT_CONF, ensure_checkpoint_dir, scratch_path
+from skyroute.session import DEFAULT_CONF, ensure_checkpoint_dir, scratch_path, state_off_heap
 
 
 def test_scratch_lives_under_the_session_checkpoint_dir(spark):
@@ -37,6 +37,26 @@ def test_session_defaults(spark):
         assert spark.conf.get(key) == DEFAULT_CONF[key]
 
 
+def test_streams_of_other_sessions_keep_their_state_off_the_heap():
+    class Session:
+        def __init__(self, store):
+            self.conf = {"spark.sql.streaming.stateStore.providerClass": store}
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    def after(store):
+        session = Session(store)
+        session.conf = Conf(session.conf)
+        state_off_heap(session)
+        return session.conf
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark_own = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    assert {k: v for k, v in DEFAULT_CONF.items() if ".stateStore." in k} == after(spark_own)
+    assert after(DEFAULT_CONF[key])[key] == DEFAULT_CONF[key]
+    assert after("my.Provider") == {key: "my.Provider"}
+
+
 def test_the_package_is_shipped_whole(tmp_path):
     """What ``ship_package`` sends can be imported by a Python that has nothing else of the repository."""
     import os

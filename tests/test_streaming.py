@@ -163,6 +163,31 @@ def test_incremental_ranked_equals_batch(spark, tmp_path):
         rows(want, "origin", "carrier", "m", "rank")
 
 
+def test_a_batch_of_state_is_computed_once(spark, tmp_path):
+    """Merging a batch into the keyed table does not run the stateful step again for a second use of its rows."""
+    schema, keys = "origin string, carrier long, delay double", ["origin", "carrier"]
+    batches = [[("A", c, 5.0) for c in range(30)], [("A", c, 1.0) for c in range(20, 40)], [("B", 1, 2.0)]]
+    src = tmp_path / "in"
+    for i, b in enumerate(batches):
+        spark.createDataFrame(b, schema).write.parquet(str(src / f"part={i}"))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(total):
+        seen.add(1)
+        return total
+
+    def best(b):
+        return b.groupBy("origin").agg(F.min(F.col("total") / F.col("n")).alias("m"))
+    out = str(tmp_path / "out")
+    R.drain(batch_streams(spark, str(src), 3, schema), lambda s: R.incremental_ranked(
+        R.running_sum_count(s, keys, "delay").withColumn("total", counted("total")), "origin", keys, best,
+        str(tmp_path / "st"), out, str(tmp_path / "ck")))
+    assert rows(KeyedTable.open(spark, out).read(), "origin", "m") == [("A", 1.0), ("B", 2.0)]
+    assert KeyedTable.open(spark, str(tmp_path / "st")).read().count() == 41
+    assert seen.value == sum(map(len, batches))
+
+
 def test_null_groups_rank_as_in_batch(spark, tmp_path):
     from skyroute.operators.aggregate import mean_by
     from skyroute.operators.ranking import top_k_by
