@@ -52,3 +52,23 @@ def test_point_lookup_prunes_partitions(spark, tmp_path):
     publish(q.top_carriers_by_origin(fx.flights(spark, SF_SMALL)), path, "origin")
     text = explain(lookup(spark, path, origin="NATION_7"))
     assert "PartitionFilters: [isnotnull(origin" in text and "NATION_7" in text
+
+
+def test_line_items_are_shuffled_once_for_the_join_with_orders(spark, tmp_path):
+    """One file for many cores: its rows are dealt by the order, so the join that follows does not send them again."""
+    day = "to_date('2000-03-01') + cast(id % 9 as int)"
+    made = {"lineitem": ["id % 40 l_orderkey", "id l_partkey", "id % 3 l_suppkey", "id % 7 l_linenumber",
+                         "cast(id % 50 as double) l_quantity", f"{day} l_shipdate"],
+            "orders": ["id o_orderkey", "id % 10 o_custkey"], "customer": ["id c_custkey", "id % 25 c_nationkey"],
+            "nation": ["id n_nationkey", "concat('N', id) n_name"]}
+    for name, columns in made.items():
+        spark.range(25 if name == "nation" else 200).selectExpr(*columns).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = fx.raw_flights(spark, str(tmp_path))
+        text = explain(df)
+        assert "RoundRobin" not in text and text.count("hashpartitioning(l_orderkey") == 1
+        assert df.count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
